@@ -33,7 +33,7 @@ def returning_rows(src: Tables, cohort: Cohort) -> DataFrame:
         rolled,
         visits.returning_guests(visits.at_property(rolled, cohort.property), cohort.year),
         visits.dominant_guests(of_years(src["ledger"], cohort.year - 1, cohort.year),
-                               src["member_xref"], cohort.property, cohort.share), "chosen")
+                               src["member_xref"], cohort.property, cohort.share)), "chosen")
     combined, _ = training.prior_year(src, chosen, cohort.year)
     return days.inference_features(src["ledger"], src["member_xref"],
                                    _lodged(src, chosen, cohort.year), cohort.year, combined)
