@@ -18,6 +18,8 @@ REASONS = ("tier_reason", "tier_sub_reason", "change_reason", "change_sub_reason
 def trip_credits(trips: DataFrame, ledger: DataFrame, xref: DataFrame, year: int) -> DataFrame:
     """Credits of a year earned on the days of trips that start in it.
 
+    ``trips`` holds one row per guest, start and end day, as the roll-up leaves it.
+
     The ledger arrives as player days, so a guest brings at most one row per day and
     player to the join, and the sums stay exact.
     """
@@ -33,9 +35,8 @@ def credits_within(trips: DataFrame, ledger: DataFrame, xref: DataFrame) -> Data
               & F.col("d.day").between(F.col("t.trip_start"), F.col("t.trip_end")))
     return (t.join(days, inside)
             .groupBy("d.guest_id", "d.player_id", "t.trip_id", "t.trip_start", "t.trip_end",
-                     "t.property")
+                     "t.property", F.col("t.start_tier").alias("tier"))
             .agg(F.sum("d.credits").alias("credits"),
-                 F.max("t.start_tier").alias("tier"),
                  F.sum("d.gaming_credits").alias("gaming_credits"),
                  F.sum("d.non_gaming_credits").alias("non_gaming_credits")))
 
@@ -56,13 +57,22 @@ def _described(df: DataFrame) -> DataFrame:
 
 
 def with_later_promotions(trips: DataFrame, promoted: DataFrame, year: int) -> DataFrame:
-    """Trips with every promotion of the year that follows them; one row for each."""
+    """Trips with every promotion of the year that follows them; one row for each.
+
+    Inner join and unmatched trips apart, because only an inner join is split at run time
+    when a player on its right side has very many rows.
+    """
     p = promoted.withColumn("prev_changed_at", midnight(year, 1, 1)).withColumnRenamed(
         "player_id", "_player")
     start = F.col("trip_start").cast("timestamp_ntz")
     follows = (F.col("player_id") == F.col("_player")) & start.between(
         F.col("prev_changed_at"), F.col("changed_at"))
-    return _described(trips.join(p, follows, "left").drop("_player"))
+    last = promoted.groupBy("player_id").agg(F.max("changed_at").alias("_last"))
+    none_follows = (F.col("_last").isNull() | (start > F.col("_last"))
+                    | (start < midnight(year, 1, 1)))
+    unmatched = trips.join(last, "player_id", "left").where(none_follows).drop("_last")
+    return _described(trips.join(p, follows).drop("_player").unionByName(
+        unmatched, allowMissingColumns=True))
 
 
 def promotion_spans(promoted: DataFrame, year: int) -> DataFrame:

@@ -24,6 +24,23 @@ LOBS = ("Gaming Slots", "Gaming Tables", "Hotel", "FB", "Online", "Other", "Spa"
 FIVE_TIERS = (*TIERS, "Invited")
 EVENT_START = date(2024, 1, 1)
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
 
 def pick(values, index):
     """Value of a fixed list by a zero-based index column."""
@@ -37,9 +54,13 @@ def quotient(c, n):
 class StandIns:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def t(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.schema(SCHEMAS[name]).parquet(
+                f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def _order_ts(self):
         return (F.col("o_orderdate") + F.expr(f"INTERVAL '{SHIFT_DAYS}' DAY")
@@ -181,11 +202,10 @@ class StandIns:
     @cached_property
     def ledger(self) -> DataFrame:
         line = F.col("l_linenumber")
-        sites = self._supplier_regions()
-        return (self.t("lineitem")
-                .join(self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate"),
-                      F.col("l_orderkey") == F.col("o_orderkey"))
-                .join(sites, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines = self.t("lineitem").join(
+            self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate"),
+            F.col("l_orderkey") == F.col("o_orderkey"))
+        return (self._with_region(lines)
                 .select(
                     self._player("o_custkey").alias("player_id"),
                     (F.col("o_orderdate") + F.expr(f"INTERVAL '{SHIFT_DAYS}' DAY")
@@ -197,24 +217,25 @@ class StandIns:
                     .when(F.col("l_returnflag") == "A", "Non-Gaming").otherwise("Other")
                     .alias("lob_group")))
 
-    def _supplier_regions(self) -> DataFrame:
-        return (self.t("supplier")
-                .join(self.t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-                .join(self.t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-                .select("s_suppkey", "r_name"))
+    def _with_region(self, lines: DataFrame) -> DataFrame:
+        """Supplier, nation and region one after the other, each a table of known size."""
+        return (lines
+                .join(self.t("supplier").select("s_suppkey", "s_nationkey"),
+                      F.col("l_suppkey") == F.col("s_suppkey"))
+                .join(self.t("nation").select("n_nationkey", "n_regionkey"),
+                      F.col("s_nationkey") == F.col("n_nationkey"))
+                .join(self.t("region"), F.col("n_regionkey") == F.col("r_regionkey")))
 
     # visits -------------------------------------------------------------------------
 
     @cached_property
     def visits(self) -> DataFrame:
         key = F.col("o_orderkey")
-        return (self.t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
-                                          "l_extendedprice", "l_discount")
-                .join(self.t("orders").drop("o_totalprice", "o_orderstatus"),
-                      F.col("l_orderkey") == F.col("o_orderkey"))
-                .join(self.t("part").select("p_partkey", "p_type"),
-                      F.col("l_partkey") == F.col("p_partkey"))
-                .join(self._supplier_regions(), F.col("l_suppkey") == F.col("s_suppkey"))
+        lines = (self.t("lineitem")
+                 .join(self.t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+                 .join(self.t("part").select("p_partkey", "p_type"),
+                       F.col("l_partkey") == F.col("p_partkey")))
+        return (self._with_region(lines)
                 .select(
                     F.col("o_custkey").alias("guest_id"), F.col("r_name").alias("property"),
                     F.col("p_type").alias("department"), self._start().alias("trip_start"),
