@@ -20,13 +20,15 @@ def daily_credits(ledger: DataFrame, xref: DataFrame, year: int) -> DataFrame:
     """Credits per guest and local day of a year, with the days left in it.
 
     Player days come first, so that no key reaches the join with more than its days.
+    They are then placed by guest alone: the sum, the windows and the joins that follow
+    all work on that placement.
     """
     per_player = (of_years(ledger, year)
                   .groupBy("player_id", F.to_date("ts").alias("day"))
                   .agg(F.sum("credits").alias("credits")))
     return days_left(
         per_player.join(xref.select("player_id", "guest_id"), "player_id")
-        .groupBy("guest_id", "day").agg(F.sum("credits").alias("credits")), year)
+        .repartition("guest_id").groupBy("guest_id", "day").agg(F.sum("credits").alias("credits")), year)
 
 
 def days_left(days: DataFrame, year: int) -> DataFrame:

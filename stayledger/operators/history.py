@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayledger.functions.codes import (
     DROP_IN, EARNED, IN_HOUSE, LOCAL, coded_number, day, midnight, target_credits)
+from stayledger.operators.scale import materialize
 from stayledger.operators.trips import REASONS
 
 PERIOD = ["guest_id", "calendar_year", "changed_at"]
@@ -25,59 +26,53 @@ def customer_history(trips: DataFrame, promoted: DataFrame, year: int) -> DataFr
     """Trips of a year per guest and promotion: all trips up to the promotion's day.
 
     A trip counts for every later promotion, and trips after the last promotion form a
-    period of their own. The pairs of trips and promotions are never built: trips are
-    totalled per day, the totals run over the days of the guest (trip days and promotion
-    days, one row each), and a promotion reads the total of its day.
+    period of their own. The pairs of trips and promotions are never built: totals run over
+    the trip days of a guest, and a promotion reads the total that holds on its day. Trips
+    are placed by player once, at most one row per player and day is left of them, and
+    everything up to the last two sums works on that placement.
     """
-    base = trips.dropna(subset=["age", "gender"]).where(
-        F.col("trip_start").between(day(year, 1, 1), day(year, 12, 31)))
     who = ["guest_id", "player_id"]
 
     def lodged(status: str):
         return F.sum(F.when(F.col("lodging") == status, 1).otherwise(0))
 
-    totals = {
-        "trips": F.count("*"),
-        "trip_days": F.sum(F.date_diff("trip_end", "trip_start") + 1),
-        "credits": F.sum("credits"), "gaming_credits": F.sum("gaming_credits"),
-        "non_gaming_credits": F.sum("non_gaming_credits"),
-        "lodger_trips": lodged(IN_HOUSE), "local_trips": lodged(LOCAL),
-        "drop_in_trips": lodged(DROP_IN), "tier": F.min("tier")}
-    by_day = base.groupBy(*who, F.col("trip_start").alias("on")).agg(
-        *(agg.alias(name) for name, agg in totals.items()))
-
-    # Promotions of one instant act as one with a weight.
-    marks = (promoted.groupBy("player_id", "changed_at")
-             .agg(F.count("*").alias("copies"), F.max("tier_before").alias("promo_tier"),
-                  *(F.max(r).alias(r) for r in REASONS))
-             .withColumn("on", F.to_date("changed_at")))
-    mark_days = marks.select("player_id", "on").distinct().join(
-        by_day.select(*who).distinct(), "player_id")
-    timeline = by_day.unionByName(mark_days, allowMissingColumns=True).groupBy(*who, "on").agg(
-        *(F.sum(c).alias(c) for c in _SUMS), F.min("tier").alias("tier"))
-    so_far = Window.partitionBy(*who).orderBy("on").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    running = timeline.select(
-        *who, "on", *(F.sum(c).over(so_far).alias(c) for c in _SUMS),
-        F.min("tier").over(so_far).alias("tier"),
-        F.min(F.when(F.col("trips").isNotNull(), F.col("on"))).over(so_far).alias("first_trip"))
-
+    by_day = (
+        trips.dropna(subset=["age", "gender"])
+        .where(F.col("trip_start").between(day(year, 1, 1), day(year, 12, 31)))
+        .repartition("player_id")
+        .groupBy(*who, F.col("trip_start").alias("on"))
+        .agg(F.count("*").alias("trips"),
+             F.sum(F.date_diff("trip_end", "trip_start") + 1).alias("trip_days"),
+             *(F.sum(c).alias(c) for c in ("credits", "gaming_credits", "non_gaming_credits")),
+             lodged(IN_HOUSE).alias("lodger_trips"), lodged(LOCAL).alias("local_trips"),
+             lodged(DROP_IN).alias("drop_in_trips"), F.min("tier").alias("tier")))
+
+    order = Window.partitionBy(*who).orderBy("on")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = by_day.select(
+        "guest_id", F.col("player_id").alias("_player"), F.col("on").alias("_from"),
+        F.coalesce(F.lead("on").over(order), day(year + 1, 1, 1)).alias("_until"),
+        *(F.sum(c).over(so_far).alias(c) for c in _SUMS),
+        F.min("tier").over(so_far).alias("tier"), F.min("on").over(so_far).alias("first_trip"))
+    on = F.to_date("changed_at")
+    reached = ((F.col("player_id") == F.col("_player")) & (on >= F.col("_from"))
+               & (on < F.col("_until")))
     promoted_part = (
-        marks.join(running.where(F.col("trips").isNotNull()), ["player_id", "on"])
-        .groupBy("guest_id", "changed_at")
-        .agg(*(F.sum(F.col(c) * F.col("copies")).alias(c) for c in _SUMS),
-             F.min("first_trip").alias("first_trip"), F.min("tier").alias("tier"),
-             F.max("promo_tier").alias("promo_tier"), *(F.max(r).alias(r) for r in REASONS)))
-    last_mark = marks.groupBy("player_id").agg(F.max("on").alias("_last"))
+        promoted.join(running, reached).groupBy("guest_id", "changed_at")
+        .agg(*(F.sum(c).alias(c) for c in _SUMS), F.min("first_trip").alias("first_trip"),
+             F.min("tier").alias("tier"), F.max("tier_before").alias("promo_tier"),
+             *(F.max(r).alias(r) for r in REASONS)))
+
+    last = promoted.groupBy("player_id").agg(F.max(on).alias("_last"))
     open_part = (
-        by_day.join(last_mark, "player_id", "left")
+        by_day.join(last, "player_id", "left")
         .where(F.col("_last").isNull() | (F.col("on") > F.col("_last")))
         .groupBy("guest_id")
         .agg(*(F.sum(c).alias(c) for c in _SUMS), F.min("on").alias("first_trip"),
              F.min("tier").alias("tier")))
-    both = promoted_part.unionByName(open_part, allowMissingColumns=True)
     return _with_tier_and_target(
-        both.withColumn("calendar_year", F.lit(year))
+        promoted_part.unionByName(open_part, allowMissingColumns=True)
+        .withColumn("calendar_year", F.lit(year))
         .withColumn("first_trip_age", F.date_diff(day(year, 12, 31), "first_trip"))
         .drop("first_trip"))
 
@@ -186,7 +181,8 @@ def combined_history(promoted: DataFrame, unpromoted: DataFrame) -> DataFrame:
 def guest_history(history: DataFrame, enum: DataFrame, xref: DataFrame, activity: DataFrame,
                   year: int, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(combined history, guests with special promotions only) of a year."""
-    natural = natural_promotions_of_history(history, enum, xref, activity, year, share)
+    natural = materialize(
+        natural_promotions_of_history(history, enum, xref, activity, year, share), "natural")
     combined = combined_history(promoted_history(natural), unpromoted_history(history))
     return combined, special_only_guests(with_reason_labels(history, enum), natural)
 
@@ -194,5 +190,5 @@ def guest_history(history: DataFrame, enum: DataFrame, xref: DataFrame, activity
 def year_promotions(rollup: DataFrame, enum: DataFrame, xref: DataFrame, activity: DataFrame,
                     year: int) -> tuple[DataFrame, DataFrame]:
     """(natural promotions, guests with special promotions only) of the model year."""
-    natural = natural_promotions(rollup, enum, xref, activity, year)
+    natural = materialize(natural_promotions(rollup, enum, xref, activity, year), "natural")
     return natural, special_only_guests(with_reason_labels(rollup, enum), natural)

@@ -61,19 +61,24 @@ def prior_year(src: Tables, cohort_trips: DataFrame, year: int,
     described = materialize(described_trips(src, cohort_trips, year - 1), "prior_trips")
     periods = materialize(history.customer_history(
         described, tiers.promotions(src["tier_history"], year - 1), year - 1), "prior_periods")
-    return history.guest_history(periods, src["reason_enum"], src["member_xref"],
-                                 src["activity"], year - 1, share)
+    combined, special = history.guest_history(
+        periods, src["reason_enum"], src["member_xref"], src["activity"], year - 1, share)
+    return materialize(combined, "history"), materialize(special, "history_special")
 
 
 def model_year(src: Tables, cohort_trips: DataFrame, year: int):
-    """(trips with their next promotion, natural promotions, special-only guests)."""
+    """(trips with their next promotion, natural promotions, special-only guests).
+
+    The frames of one row per promotion or guest are small next to the ledger and used more
+    than once, so they are kept.
+    """
     with_next = materialize(trips.with_next_promotion(
         described_trips(src, cohort_trips, year), tiers.promotions(src["tier_history"], year),
         year), "trips")
     natural, special = history.year_promotions(
         history.trip_rollup_by_promotion(with_next), src["reason_enum"], src["member_xref"],
         src["activity"], year)
-    return with_next, natural, special
+    return with_next, natural, materialize(special, "special")
 
 
 def returning_rows(src: Tables, cohort_trips: DataFrame, year: int,

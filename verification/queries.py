@@ -87,7 +87,8 @@ class Flow:
 
     @cached_property
     def hist(self):
-        return history.guest_history(self.periods, self.x.enum, self.x.xref, self.x.activity, HIST)
+        return tuple(scale.materialize(part, "hist") for part in history.guest_history(
+            self.periods, self.x.enum, self.x.xref, self.x.activity, HIST))
 
     @cached_property
     def next_promotions(self):
