@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.functions.codes import hash_bucket, promo_trip_bucket
+from stayledger.operators.scale import materialize
 
 BUCKETS = 1000
 
@@ -72,12 +73,11 @@ def guest_split(rows: DataFrame, train_share: float = 0.8, salt: str = "split")
 
 def fit_encoder(rows: DataFrame) -> PipelineModel:
     """Locations one-hot and genders indexed by frequency, assembled into ``features``."""
-    inputs = [c for c in ENCODED_FEATURES]
     return Pipeline(stages=[
         StringIndexer(inputCol="location", outputCol="location_index"),
         OneHotEncoder(inputCol="location_index", outputCol="location_vector"),
         StringIndexer(inputCol="gender", outputCol="gender_index"),
-        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
+        VectorAssembler(inputCols=list(ENCODED_FEATURES), outputCol="features", handleInvalid="keep"),
     ]).fit(rows)
 
 
@@ -85,9 +85,10 @@ def trainable(rows: DataFrame) -> DataFrame:
     return rows.dropna(subset=["location"]).where(F.col("target_credits") != -1)
 
 
-def trip_training_set(rows: DataFrame) -> DataFrame:
-    """Balanced first- or second-trip rows as feature vectors with a class of trips needed."""
-    numeric = balance(trainable(rows)).withColumns(
+def trip_training_set(rows: DataFrame, balanced: bool = True) -> DataFrame:
+    """First- or second-trip rows as feature vectors with a class of trips needed."""
+    kept = materialize(trainable(rows), "trainable")
+    numeric = (balance(kept) if balanced else kept).withColumns(
         {c: F.col(c).cast("double") for c in ENCODED_FEATURES
          if c not in ("gender_index", "location_vector")})
     return (fit_encoder(numeric).transform(numeric)

@@ -54,11 +54,15 @@ def customer_history(trips: DataFrame, promoted: DataFrame, year: int) -> DataFr
         F.coalesce(F.lead("on").over(order), day(year + 1, 1, 1)).alias("_until"),
         *(F.sum(c).over(so_far).alias(c) for c in _SUMS),
         F.min("tier").over(so_far).alias("tier"), F.min("on").over(so_far).alias("first_trip"))
+    # Months spread a player with very many promotions and keep the comparisons few.
+    months = F.sequence(F.month("_from"), F.month(F.date_sub("_until", 1)))
     on = F.to_date("changed_at")
-    reached = ((F.col("player_id") == F.col("_player")) & (on >= F.col("_from"))
-               & (on < F.col("_until")))
+    reached = ((F.col("player_id") == F.col("_player")) & (F.month(on) == F.col("_month"))
+               & (on >= F.col("_from")) & (on < F.col("_until")))
     promoted_part = (
-        promoted.join(running, reached).groupBy("guest_id", "changed_at")
+        promoted.where((on >= day(year, 1, 1)) & (on <= day(year, 12, 31)))
+        .join(running.withColumn("_month", F.explode(months)), reached)
+        .groupBy("guest_id", "changed_at")
         .agg(*(F.sum(c).alias(c) for c in _SUMS), F.min("first_trip").alias("first_trip"),
              F.min("tier").alias("tier"), F.max("tier_before").alias("promo_tier"),
              *(F.max(r).alias(r) for r in REASONS)))

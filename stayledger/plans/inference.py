@@ -12,6 +12,7 @@ from stayledger.operators.scale import materialize
 from stayledger.plans import training
 from stayledger.plans.training import Cohort, Tables
 from stayledger.schemas import NEW_GUEST_FEATURES, RETURNING_FEATURES
+from stayledger.sources import tables
 
 
 def _rolled(src: Tables, cohort: Cohort) -> DataFrame:
@@ -46,6 +47,11 @@ def new_guest_rows(src: Tables, cohort: Cohort) -> DataFrame:
         src["ledger"], src["member_xref"], _lodged(src, chosen, cohort.year), cohort.year))
 
 
+def log_scored(scores: DataFrame, path: str) -> None:
+    """Append the number of scored guests and their latest day to the run log."""
+    tables.log_run(tables.freshness(scores, "scores", "day"), path)
+
+
 def score_active(rows: DataFrame, as_of: date, scaler, scorer: scoring.Scorer, threshold: float,
                  returning: bool) -> DataFrame:
     """Score and flag of yesterday's guests, from their latest rows."""

@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 
 from stayledger.schemas import conform
 
-RUN_LOG = "step string, logged_at timestamp_ntz, latest timestamp_ntz, row_count bigint"
-
 
 def read(spark: SparkSession, source: str, schema: T.StructType | None = None,
          fmt: str = "parquet") -> DataFrame:

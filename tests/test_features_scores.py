@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stayledger.operators import evaluation, features, scoring
+from stayledger import schemas
+from stayledger.operators import evaluation, features, scoring, sequences
 from stayledger.sources import tables
 from tests.helpers import bag, d, table
 
@@ -159,6 +160,24 @@ def test_linear_scorer_ignores_the_padding(spark):
         [1 / (1 + math.exp(0.5)), 1 / (1 + math.exp(-2.5))])
 
 
+def test_score_of_one_literal_row(spark, tmp_path):
+    """A single guest through a stored scaler, a padded window and a scorer."""
+    names = list(schemas.RETURNING_FEATURES)
+    fitted = table(spark, ", ".join(f"{n} double" for n in names),
+                   tuple(0.0 for _ in names), tuple(10.0 for _ in names))
+    tables.save_scaler(features.fit_scaler(fitted, names), str(tmp_path / "s"))
+    row = table(spark, "guest_id bigint, day date, " + ", ".join(f"{n} double" for n in names),
+                (123, d("2024-11-11"), *(50.0 if n == "days_left" else 5.0 for n in names)))
+    scaled = features.apply_scaler(tables.load_scaler(str(tmp_path / "s")), row, names)
+    window = sequences.padded(sequences.trailing_windows(
+        scaled, features.scaled_names(names)), len(names))
+    assert window.first().length == 1 and len(window.first().sequence) == 6
+    scorer = scoring.LinearScorer([0.1] * len(names), -1.0)
+    got = scoring.score_sequences(window, scorer, 6, len(names)).first()
+    logit = 0.1 * (0.5 * (len(names) - 1) + 5.0) - 1.0
+    assert got.guest_id == 123 and got.score == pytest.approx(1 / (1 + math.exp(-logit)))
+
+
 def test_recurrent_scorer_equals_step_by_step(spark):
     rng = np.random.default_rng(0)
     w, h, steps = 3, 4, 6

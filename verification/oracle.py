@@ -555,6 +555,17 @@ CTES: dict[str, str] = {
 }
 
 
+_ENCODED = ("days_left", "credits", "gaming_credits", "non_gaming_credits", "gender_index", "age",
+            None, "local_share", "lodger_share", "target_credits", "top_tier", "gaming_share",
+            "non_gaming_share", "hist_credits", "hist_first_trip_age", "hist_trips")
+
+
+def _index(column):
+    """Index of a category by falling frequency, then name."""
+    return (f"(SELECT {column}, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS idx, "
+            f"count(*) OVER () AS n FROM st_trainable GROUP BY {column})")
+
+
 def _metrics(t):
     return f"""SELECT {t}::DOUBLE AS threshold,
         CAST(count(*) FILTER (score > {t} AND label = 1) AS DOUBLE)
@@ -580,6 +591,8 @@ _LABEL_JOIN = """SELECT f.*, s.trips AS success_trips,
   FROM {features} f LEFT JOIN (
     SELECT guest_id, arg_min(trips, changed_at) AS trips FROM st_natural
     WHERE trips > {used} GROUP BY guest_id) s USING (guest_id)"""
+CTES["st_trainable"] = ("SELECT * FROM (" + _LABEL_JOIN.format(features="st_first", used=1)
+                        + ") WHERE location IS NOT NULL AND target_credits <> -1")
 _PROFILE = " UNION ALL ".join(
     f"""SELECT '{c}' AS feature, count({c}) AS n, avg(CAST({c} AS DOUBLE)) AS mean,
       stddev_samp(CAST({c} AS DOUBLE)) AS stddev, min({c}) AS lowest, max({c}) AS highest
@@ -703,17 +716,10 @@ BODIES: dict[str, str] = {
     "negative_downsample": f"""FROM st_scored_rows WHERE guest_id NOT IN (
         SELECT guest_id FROM st_scored_rows GROUP BY guest_id
         HAVING sum(label) = 0 AND {bucket('guest_id', '269')} < 700)""",
-    "class_balance": f"""SELECT f.* FROM (
-        SELECT *, count(*) OVER (PARTITION BY label) AS n FROM ({_LABEL_JOIN.format(
-            features='st_first', used=1)})
-        WHERE location IS NOT NULL AND target_credits <> -1) f
-      WHERE {bucket('guest_id', 'balance')} * n < 1000 * (
-        SELECT min(m) FROM (SELECT count(*) AS m FROM ({_LABEL_JOIN.format(
-            features='st_first', used=1)})
-          WHERE location IS NOT NULL AND target_credits <> -1 GROUP BY label
-          HAVING (SELECT count(DISTINCT label) FROM ({_LABEL_JOIN.format(
-            features='st_first', used=1)}) WHERE location IS NOT NULL
-              AND target_credits <> -1) = 2))""",
+    "class_balance": f"""SELECT * FROM (
+        SELECT *, count(*) OVER (PARTITION BY label) AS n,
+          least(count(*) FILTER (label = 1) OVER (), count(*) FILTER (label = 0) OVER ()) AS small
+        FROM st_trainable) WHERE {bucket('guest_id', 'balance')} * n < 1000 * small""",
     "category_index": """SELECT location, count(*) AS rows,
         row_number() OVER (ORDER BY count(*) DESC, location) - 1 AS idx
       FROM fx_demo WHERE location IS NOT NULL GROUP BY location""",
@@ -721,6 +727,17 @@ BODIES: dict[str, str] = {
         CASE WHEN {bucket('guest_id', 'split')} < 800 THEN 'train' ELSE 'test' END AS side
       FROM st_running""",
     "feature_profile": _PROFILE,
+    "location_onehot": f"""SELECT guest_id,
+        CASE WHEN success_trips IS NULL THEN 0 WHEN success_trips BETWEEN 3 AND 5 THEN 1
+          WHEN success_trips BETWEEN 6 AND 11 THEN 2 WHEN success_trips BETWEEN 12 AND 26 THEN 3
+          ELSE 4 END AS label,
+        concat_ws(',', {', '.join(
+            "array_to_string([CASE WHEN i = l.idx THEN 10000 ELSE 0 END "
+            "FOR i IN range(l.n - 1)], ',')" if c is None else
+            "CAST(g.idx * 10000 AS BIGINT)" if c == "gender_index" else
+            f"CAST(round(CAST(f.{c} AS DOUBLE) * 10000) AS BIGINT)" for c in _ENCODED)}) AS vector
+      FROM st_trainable f JOIN {_index('location')} l USING (location)
+      JOIN {_index('gender')} g USING (gender)""",
     "score_sequences": f"""SELECT guest_id, day,
         1.0::DOUBLE / (1.0::DOUBLE + exp(-({_MEANS} + {BIAS}::DOUBLE))) AS score
       FROM st_scaled WINDOW last6 AS ({_LAST6})""",

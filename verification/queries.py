@@ -6,16 +6,15 @@ from collections.abc import Callable
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.functions import codes
 from stayledger.operators import (
     days, evaluation, features, history, ledger, scale, scoring, sequences, tiers, trip_models,
     trips, visits)
-from stayledger.plans import evaluation as backtest
 from stayledger.plans import inference, training
-from stayledger.schemas import NEW_GUEST_FEATURES, RETURNING_FEATURES
 from stayledger.sources import tables
 from verification.shape import shape
 from verification.standins import ONLINE, PROPERTY, SHARE, SYSTEM, StandIns
@@ -118,6 +117,10 @@ class Flow:
     def first_labelled(self):
         return trip_models.label_by_promotion(self.first_features, self.model[0], 1)
 
+    @cached_property
+    def kept_first(self):
+        return scale.materialize(self.first_labelled, "first")
+
     @cached_property
     def day_rows(self):
         natural, special = self.model
@@ -571,7 +574,7 @@ def lodging_running_share(f):
 
 @query(_LABELLED + " " + _COMBINED)
 def drop_inconsistent(f):
-    return days.drop_inconsistent(f.day_rows)
+    return days.drop_inconsistent(scale.materialize(f.day_rows, "days"))
 
 
 @query(_LABELLED)
@@ -676,7 +679,7 @@ def negative_downsample(f):
 
 @query("guest_id:b label:b target_credits:b")
 def class_balance(f):
-    return features.balance(features.trainable(f.first_labelled))
+    return features.balance(features.trainable(f.kept_first))
 
 
 @query("location:s idx:b rows:b")
@@ -691,19 +694,16 @@ def guest_split(f):
 
 @query("feature:s n:b mean:r stddev:r lowest:d highest:d")
 def feature_profile(f):
-    return evaluation_profile(f)
-
-
-def evaluation_profile(f):
     return features.profile(f.running, EVENT_FEATURES)
 
 
 @query("guest_id:b vector:s label:b")
 def location_onehot(f):
-    rows = features.trip_training_set(f.first_labelled)
-    from pyspark.ml.functions import vector_to_array
-    return rows.withColumn("vector", F.array_join(
-        F.transform(vector_to_array("features"), lambda v: F.round(v, 4).cast("string")), ","))
+    """Feature vectors as text, values in ten-thousandths."""
+    rows = features.trip_training_set(f.first_labelled, balanced=False)
+    return rows.withColumn("vector", F.array_join(F.transform(
+        vector_to_array("features"),
+        lambda v: F.round(v * 10000).cast("long").cast("string")), ","))
 
 
 # scores -------------------------------------------------------------------------------------
