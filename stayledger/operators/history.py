@@ -27,9 +27,8 @@ def customer_history(trips: DataFrame, promoted: DataFrame, year: int) -> DataFr
 
     A trip counts for every later promotion, and trips after the last promotion form a
     period of their own. The pairs of trips and promotions are never built: totals run over
-    the trip days of a guest, and a promotion reads the total that holds on its day. Trips
-    are placed by player once, at most one row per player and day is left of them, and
-    everything up to the last two sums works on that placement.
+    the trip days of a guest, and a promotion reads the total that holds on its day. Of the
+    trips at most one row per guest, player and day is left before they are placed by player.
     """
     who = ["guest_id", "player_id"]
 
@@ -39,13 +38,13 @@ def customer_history(trips: DataFrame, promoted: DataFrame, year: int) -> DataFr
     by_day = (
         trips.dropna(subset=["age", "gender"])
         .where(F.col("trip_start").between(day(year, 1, 1), day(year, 12, 31)))
-        .repartition("player_id")
         .groupBy(*who, F.col("trip_start").alias("on"))
         .agg(F.count("*").alias("trips"),
              F.sum(F.date_diff("trip_end", "trip_start") + 1).alias("trip_days"),
              *(F.sum(c).alias(c) for c in ("credits", "gaming_credits", "non_gaming_credits")),
              lodged(IN_HOUSE).alias("lodger_trips"), lodged(LOCAL).alias("local_trips"),
-             lodged(DROP_IN).alias("drop_in_trips"), F.min("tier").alias("tier")))
+             lodged(DROP_IN).alias("drop_in_trips"), F.min("tier").alias("tier"))
+        .repartition("player_id"))
 
     order = Window.partitionBy(*who).orderBy("on")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
