@@ -19,7 +19,7 @@ def shape(df: DataFrame, spec: str) -> DataFrame:
         "b": lambda c: c.cast("long"), "d": lambda c: c.cast("double"),
         "r": lambda c: F.round(c.cast("double"), 6), "s": lambda c: c.cast("string"),
         "t": lambda c: c.cast("date"),
-        "c": lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")}
+        "c": lambda c: F.substring(c.cast("string"), 1, 19)}
     return df.select(*(kinds[kind](F.col(name)).alias(name) for name, kind in columns(spec)))
 
 
