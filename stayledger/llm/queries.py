@@ -10,6 +10,33 @@ from pyspark.sql import functions as F
 from stayledger.llm.common import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stayledger.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stayledger.llm.token_files import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stayledger.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stayledger.llm.bpe import decode, encode
+
+    return decode(encode(table(spark, sf_dir, "documents"))).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stayledger.llm.suffix_dedup import without_repeats
 

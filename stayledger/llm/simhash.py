@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayledger.llm.common import pieces, store, texts
@@ -169,3 +169,13 @@ def near_duplicates(docs: DataFrame, threshold: int = 4, id: str = "doc_id",
     named = nodes.join(joined, "node", "left").select(
         "fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def first_of_each(docs: DataFrame, threshold: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row of the smallest id of each group of near duplicates, with all its columns; of rows
+    that share this id, the one with the least hash of text."""
+    kept = near_duplicates(docs, threshold, id, text).where("doc_id = component_id").select(
+        F.col("doc_id").alias("_kept")).distinct()
+    order = Window.partitionBy("_kept").orderBy(F.xxhash64(F.col(text)))
+    return docs.join(kept, F.col(id).cast("long") == F.col("_kept")).withColumn(
+        "_nth", F.row_number().over(order)).where("_nth = 1").drop("_kept", "_nth")

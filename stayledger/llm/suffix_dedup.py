@@ -230,23 +230,37 @@ def merged(starts, stops) -> list[tuple[int, int]]:
     return [tuple(x) for x in runs]
 
 
-_CUT = "n_removed long, n_spans long, spans array<struct<start:long,stop:long>>, kept binary"
+_CUT = "n_removed long, n_spans long, spans array<struct<start:long,stop:long>>, kept binary, kept_text string"
+
+
+def _whole(data: bytes, a: int, z: int) -> tuple[int, int]:
+    """The run a..z, widened to whole UTF-8 characters."""
+    while a and data[a] & 0xC0 == 0x80:
+        a -= 1
+    while z < len(data) and data[z] & 0xC0 == 0x80:
+        z += 1
+    return a, z
+
+
+def _without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
+    at = [0, *(x for run in runs for x in run), len(data)]
+    return b"".join(data[a:z] for a, z in zip(at[::2], at[1::2]))
 
 
 def _cut(text: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.DataFrame:
     out = []
     for data, a, z in zip(text, starts, stops):
         runs = merged(a, z) if a is not None else []
-        at = [0, *(x for run in runs for x in run), len(data)]
         out.append((sum(z - a for a, z in runs), len(runs), [{"start": a, "stop": z} for a, z in runs],
-                    b"".join(data[x:y] for x, y in zip(at[::2], at[1::2])) if runs else data))
-    return pd.DataFrame(out, columns=["n_removed", "n_spans", "spans", "kept"])
+                    _without(data, runs), _without(data, [_whole(data, *x) for x in runs]).decode()))
+    return pd.DataFrame(out, columns=["n_removed", "n_spans", "spans", "kept", "kept_text"])
 
 
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the columns ``n_bytes, n_removed, n_spans, spans, kept`` (in place of any of
-    those names): every byte covered by a string of 200 bytes that also starts anywhere else, in
-    the same text or another, is taken out; ``kept`` has the remaining bytes.
+    """``docs`` with the columns ``n_bytes, n_removed, n_spans, spans, kept, kept_text`` (in
+    place of any of those names): every byte covered by a string of 200 bytes that also starts
+    anywhere else, in the same text or another, is taken out; ``kept`` has the remaining bytes,
+    ``kept_text`` those of characters that remain whole.
 
     Null texts count as empty; texts under 200 bytes lose nothing to themselves or others; rows
     that share an id or repeat each other are texts of their own; a null id is an id like any
@@ -260,5 +274,5 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     joined = docs.withColumn("_key", F.xxhash64(F.col(id).cast("string"), data)).join(parts, "_key", "left")
     cut = joined.withColumn("_cut", F.pandas_udf(_cut, _CUT)(data, "_starts", "_stops"))
     return cut.withColumns({"n_bytes": F.length(data).cast("long"), **{
-        c: F.col(f"_cut.{c}") for c in ("n_removed", "n_spans", "spans", "kept")}}).drop(
+        c: F.col(f"_cut.{c}") for c in ("n_removed", "n_spans", "spans", "kept", "kept_text")}}).drop(
             "_key", "_starts", "_stops", "_cut")
