@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from stayledger.operators.days import _row_order
 
 STEPS = 6
+#: Days left of the days that training and back-tests look at: all but December 31.
+BEFORE_YEAR_END = (1, 365)
 
 
 def _vector(features: Sequence[str]):
     return F.array(*(F.col(f).cast("double") for f in features))
 
 
-def trailing_windows(rows: DataFrame, features: Sequence[str], steps: int = STEPS) -> DataFrame:
-    """The last ``steps`` rows up to every active day of a guest, except on December 31.
+def trailing_windows(rows: DataFrame, features: Sequence[str], steps: int = STEPS,
+                     anchors: tuple[int, int] | None = None) -> DataFrame:
+    """The last ``steps`` rows up to every active day of a guest; with ``anchors`` only up to
+    days with that many days left.
 
     One window frame per guest instead of one self-join per day of the year. Where trips
     overlap, a day has several rows; its last row is the anchor and gives the label.
@@ -25,13 +29,13 @@ def trailing_windows(rows: DataFrame, features: Sequence[str], steps: int = STEP
     order = Window.partitionBy("guest_id").orderBy(*_row_order(rows))
     frame = order.rowsBetween(-(steps - 1), Window.currentRow)
     label = [F.col("label")] if "label" in rows.columns else []
-    return (rows.select("guest_id", "day", "days_left", *label,
-                        F.collect_list(_vector(features)).over(frame).alias("sequence"),
-                        F.lead("day").over(order).alias("_next"))
-            .where(F.col("_next").isNull() | (F.col("_next") != F.col("day")))
-            .where(F.col("days_left").between(1, 365))
-            .withColumn("length", F.size("sequence"))
-            .drop("_next"))
+    windows = (rows.select("guest_id", "day", "days_left", *label,
+                           F.collect_list(_vector(features)).over(frame).alias("sequence"),
+                           F.lead("day").over(order).alias("_next"))
+               .where(F.col("_next").isNull() | (F.col("_next") != F.col("day"))))
+    if anchors is not None:
+        windows = windows.where(F.col("days_left").between(*anchors))
+    return windows.withColumn("length", F.size("sequence")).drop("_next")
 
 
 def chunks(rows: DataFrame, features: Sequence[str], steps: int = STEPS) -> DataFrame:

@@ -41,11 +41,14 @@ def credits_within(trips: DataFrame, ledger: DataFrame, xref: DataFrame) -> Data
                  F.sum("d.non_gaming_credits").alias("non_gaming_credits")))
 
 
-def with_demographics(trips: DataFrame, demo: DataFrame, *, since: date = date(2020, 1, 1),
-                      until: date | None = date(2025, 12, 31),
+def with_demographics(trips: DataFrame, demo: DataFrame, *, since: date | None = None,
+                      until: date | None = None,
                       columns: tuple[str, ...] = ("gender", "age", "location", "lodging",
                                                   "tenure")) -> DataFrame:
-    known = demo.where(F.col("trip_start") >= F.lit(since))
+    """Trips with what is known about their guest; bounds on the start prune ``demo``."""
+    known = demo
+    if since is not None:
+        known = known.where(F.col("trip_start") >= F.lit(since))
     if until is not None:
         known = known.where(F.col("trip_start") <= F.lit(until))
     return trips.join(known.select(*TRIP_KEYS, *columns), TRIP_KEYS)

@@ -12,7 +12,8 @@ def simulate(rows: DataFrame, scaler, scorer: scoring.Scorer, names) -> DataFram
     """Score of every guest on every active day, as if scored that day."""
     scaled = features.apply_scaler(scaler, days.without_promotion_day(rows), names)
     windows = sequences.padded(
-        sequences.trailing_windows(scaled, features.scaled_names(names)), len(names))
+        sequences.trailing_windows(scaled, features.scaled_names(names), anchors=sequences.BEFORE_YEAR_END),
+        len(names))
     return evaluation.with_score_counts(
         scoring.score_sequences(windows, scorer, sequences.STEPS, len(names)))
 

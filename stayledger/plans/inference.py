@@ -24,7 +24,7 @@ def _lodged(src: Tables, cohort_trips: DataFrame, year: int) -> DataFrame:
     running = cohort_trips.where(cohort_trips.trip_start >= date(year, 1, 1))
     return trips.with_demographics(
         trips.credits_within(running, of_years(src["ledger"], year), src["member_xref"]), src["trip_demo"],
-        since=date(year, 1, 1), until=None, columns=("lodging",))
+        since=date(year, 1, 1), columns=("lodging",))
 
 
 def returning_rows(src: Tables, cohort: Cohort) -> DataFrame:

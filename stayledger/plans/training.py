@@ -52,7 +52,7 @@ def new_trips(src: Tables, cohort: Cohort) -> DataFrame:
 def described_trips(src: Tables, cohort_trips: DataFrame, year: int) -> DataFrame:
     return trips.with_demographics(
         trips.trip_credits(cohort_trips, src["ledger"], src["member_xref"], year),
-        src["trip_demo"])
+        src["trip_demo"], since=date(year, 1, 1), until=date(year, 12, 31))
 
 
 def prior_year(src: Tables, cohort_trips: DataFrame, year: int,
@@ -106,5 +106,5 @@ def training_sequences(rows: DataFrame, returning: bool, scaler=None):
     scaled = features.apply_scaler(scaler, rows, names)
     kept = days.without_promotion_day(
         features.thin_out_negatives(scaled, 0.7 if returning else 0.5))
-    windows = sequences.trailing_windows(kept, features.scaled_names(names))
+    windows = sequences.trailing_windows(kept, features.scaled_names(names), anchors=sequences.BEFORE_YEAR_END)
     return scaler, sequences.padded(windows, len(names))

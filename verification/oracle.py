@@ -9,10 +9,15 @@ from __future__ import annotations
 
 import re
 
-from stayledger.functions.codes import PACIFIC_SUMMER
 from verification.queries import BIAS, EVENT_FEATURES, SPECS, WEIGHTS
 from verification.shape import shape_sql
 
+#: Local clock: the ten summers, both ends included.
+PACIFIC_SUMMER = tuple((f"{a} 01:59:59.999999", f"{b} 01:59:59.999999") for a, b in (
+    ("2016-03-13", "2016-11-06"), ("2017-03-12", "2017-11-05"), ("2018-03-11", "2018-11-04"),
+    ("2019-03-10", "2019-11-03"), ("2020-03-10", "2020-11-01"), ("2021-03-14", "2021-11-07"),
+    ("2022-03-13", "2022-11-06"), ("2023-03-12", "2023-11-05"), ("2024-03-10", "2024-11-03"),
+    ("2025-03-09", "2025-11-02")))
 OTS = "o_orderdate + INTERVAL 9496 DAY + to_hours(o_orderkey % 24)"
 START = "CAST(o_orderdate + INTERVAL 9496 DAY AS DATE)"
 END = f"({START} + CAST(o_orderkey % 30 + 1 AS INTEGER))"
@@ -460,8 +465,8 @@ CTES: dict[str, str] = {
             PARTITION BY guest_id, changed_at
             ORDER BY trip_start DESC, trip_end DESC, trip_no DESC) - 1 END AS label
         FROM (SELECT n.guest_id, trip_no, trip_start, trip_end, running_credits,
-            date_diff('day', trip_start, DATE '2024-12-31') AS days_left, c.hist_credits,
-            c.top_tier, p.promo_tier, p.changed_at, p.prev_changed_at
+            date_diff('day', trip_start, DATE '2024-12-31') AS days_left, n.gender, n.age,
+            c.* EXCLUDE (guest_id), p.promo_tier, p.changed_at, p.prev_changed_at
           FROM st_numbered n JOIN st_combined c USING (guest_id)
           LEFT JOIN (SELECT *, coalesce(lag(changed_at) OVER (PARTITION BY guest_id
               ORDER BY changed_at), TIMESTAMP '2024-01-01') AS prev_changed_at FROM st_natural) p
@@ -535,7 +540,7 @@ CTES: dict[str, str] = {
     "st_overlap_rows": f"""SELECT *,
         concat_ws(',', CAST(round(credits * 100) AS BIGINT), day_no * 100, trip_length * 100,
           trip_day * 100) AS step FROM st_day_labels WHERE {NO_PROMOTION_DAY}""",
-    "st_scaled": "SELECT guest_id, day, " + ", ".join(
+    "st_scaled": "SELECT *, " + ", ".join(
         f"(CAST({c} AS DOUBLE) - min(CAST({c} AS DOUBLE)) OVER ()) / (max(CAST({c} AS DOUBLE)) "
         f"OVER () - min(CAST({c} AS DOUBLE)) OVER ()) AS {c}_scaled" for c in EVENT_FEATURES)
         + " FROM st_running",
@@ -580,7 +585,7 @@ def _scaled_by(fit, apply):
                        for c in EVENT_FEATURES)
     cells = ", ".join(f"(CAST({c} AS DOUBLE) - lo_{c}) / (hi_{c} - lo_{c}) AS {c}_scaled"
                       for c in EVENT_FEATURES)
-    return (f"SELECT guest_id, day, {cells} FROM st_running, "
+    return (f"SELECT st_running.*, {cells} FROM st_running, "
             f"(SELECT {bounds} FROM st_running WHERE {fit}) WHERE {apply}")
 
 
@@ -622,7 +627,7 @@ BODIES: dict[str, str] = {
         AND {pacific('a.activity_at')} BETWEEN DATE '2024-01-01' AND DATE '2024-12-31'""",
     "tiers_without_history": "FROM st_without",
     "tiers_with_history": "FROM st_with",
-    "survivor_lookup": """SELECT c.member_id, c.changed_at,
+    "survivor_lookup": """SELECT c.*,
         coalesce(g.survivor_id, c.member_id) AS survivor_id FROM st_with c
       LEFT JOIN fx_merged g ON c.member_id = g.victim_id AND g.delete_flag = 'N'""",
     "tier_history_build": "FROM st_tier_history",
@@ -649,8 +654,7 @@ BODIES: dict[str, str] = {
     "cohort_tier_changes": """SELECT guest_id, changed_at, tier_from, tier_to, tier_before,
         tier_after FROM st_ranked JOIN fx_xref USING (player_id)
       WHERE year(changed_at) = 2024 AND guest_id IN (SELECT guest_id FROM st_new_cohort)""",
-    "latest_snapshot": """SELECT event_id, CAST(ts AS DATE) AS snapshot, user_id, event_type
-      FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",
+    "latest_snapshot": """SELECT *, CAST(ts AS DATE) AS snapshot FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",
     "table_roundtrip": "FROM st_rolled",
     "trip_credits": "FROM st_credits_2023",
     "trip_demo_join": "FROM st_demo_2023",
@@ -738,13 +742,16 @@ BODIES: dict[str, str] = {
             f"CAST(round(CAST(f.{c} AS DOUBLE) * 10000) AS BIGINT)" for c in _ENCODED)}) AS vector
       FROM st_trainable f JOIN {_index('location')} l USING (location)
       JOIN {_index('gender')} g USING (gender)""",
-    "score_sequences": f"""SELECT guest_id, day,
+    "score_sequences": f"""SELECT guest_id, day, days_left, count(*) OVER last6 AS length,
         1.0::DOUBLE / (1.0::DOUBLE + exp(-({_MEANS} + {BIAS}::DOUBLE))) AS score
       FROM st_scaled WINDOW last6 AS ({_LAST6})""",
     "score_flag": "SELECT *, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS flag FROM st_scores",
     "roc_points": """SELECT *, CAST(tp AS DOUBLE) / CAST(positives AS DOUBLE) AS tpr,
-        CAST(fp AS DOUBLE) / CAST(negatives AS DOUBLE) AS fpr FROM st_curve""",
-    "roc_points_sparse": "FROM st_sparse",
+        CAST(fp AS DOUBLE) / CAST(negatives AS DOUBLE) AS fpr
+      FROM (SELECT point, threshold, tp, fp, positives, negatives FROM st_curve
+            UNION ALL SELECT 0, 'infinity'::DOUBLE, 0, 0, 1, 1)""",
+    "roc_points_sparse": """SELECT * FROM st_sparse
+      UNION ALL SELECT 0, 'infinity'::DOUBLE, 0, 0, 0.0::DOUBLE, 0.0::DOUBLE""",
     "roc_first_below_half": """FROM st_sparse WHERE point = (
         SELECT min(point) FROM st_sparse WHERE threshold < 0.5)""",
     "auc": """SELECT max(p) AS positives, max(n) AS negatives,
@@ -757,7 +764,7 @@ BODIES: dict[str, str] = {
       FROM st_scores""",
     "fp_rows": "FROM st_fp",
     "fp_profile": "FROM st_fp_profile",
-    "fp_winloss": """SELECT f.guest_id, f.day, f.score, t.trip_start, t.trip_end, t.win_loss
+    "fp_winloss": """SELECT f.*, t.trip_start, t.trip_end, t.win_loss
       FROM st_fp_profile f JOIN (
         SELECT guest_id, trip_start, trip_end, sum(net_gaming_revenue) AS win_loss
         FROM fx_visits GROUP BY ALL) t

@@ -191,22 +191,29 @@ class Flow:
 
 # codes ----------------------------------------------------------------------------------
 
-@query("activity_id:b activity_at:c local_at:c")
+@query("activity_id:b activity_at:c local_at:c"
+       " member_id:b location_id:b created_at:c activity_status:s activity_type:s lob:s"
+       " user_id:s loyalty_id:s delete_flag:s")
 def utc_to_pacific(f):
     return f.x.activity.withColumn("local_at", codes.to_pacific("activity_at"))
 
 
-@query("activity_id:b lob:s lob_group:s")
+@query("activity_id:b lob:s lob_group:s"
+       " member_id:b location_id:b activity_at:c created_at:c activity_status:s"
+       " activity_type:s user_id:s loyalty_id:s delete_flag:s")
 def lob_rollup(f):
     return f.x.activity.withColumn("lob_group", codes.lob_group("lob", "user_id", SYSTEM))
 
 
-@query("player_id:s changed_at:c tier_before:b tier_after:b")
+@query("player_id:s changed_at:c tier_before:b tier_after:b"
+       " tier_from:s tier_to:s tier_reason:s tier_sub_reason:s change_reason:s"
+       " change_sub_reason:s")
 def tier_ordinal(f):
     return tiers.ranked_changes(f.x.tier_history)
 
 
-@query("guest_id:b trip_id:s trip_tier:b target:b strict_target:b")
+@query("guest_id:b trip_id:s trip_tier:b target:b strict_target:b"
+       " trip_start:t trip_end:t departments:b property:s gaming_days:b start_tier:s")
 def target_ladder(f):
     return f.rolled.withColumn("trip_tier", codes.coded_number("start_tier")).withColumns({
         "target": codes.target_credits("trip_tier"),
@@ -246,7 +253,9 @@ def tiers_with_history(f):
     return tiers.members_with_history(x.members, x.member_tiers, x.member_tier_history, x.id_map)
 
 
-@query("member_id:b changed_at:c survivor_id:b")
+@query("member_id:b changed_at:c survivor_id:b"
+       " player_id:s enrolled_at:c tier_from:s tier_to:s current_tier:s current_tier_at:c"
+       " tier_reason:s tier_sub_reason:s change_reason:s change_sub_reason:s")
 def survivor_lookup(f):
     return tiers.with_survivor(tiers_with_history(f), f.x.merged)
 
@@ -269,14 +278,16 @@ def freshness(f):
         tables.freshness(f.x.tier_history, "tier_history", "changed_at"))
 
 
-@query("player_id:s ts:c credits:d calendar_year:b")
+@query("player_id:s ts:c credits:d calendar_year:b"
+       " site_name:s lob_group:s")
 def ledger_sink_roundtrip(f):
     path = scale.work_path(f.spark, "ledger")
     tables.write_by_year(f.x.ledger, path, "ts")
     return f.spark.read.parquet(path).where(F.col("calendar_year") == YEAR)
 
 
-@query("guest_id:b ts:c credits:d running_credits:d")
+@query("guest_id:b ts:c credits:d running_credits:d"
+       " player_id:s site_name:s lob_group:s")
 def ledger_running(f):
     return ledger.ledger_running(f.x.ledger, f.x.xref)
 
@@ -291,7 +302,8 @@ def member_xref(f):
 # visits and cohorts -----------------------------------------------------------------------
 
 @query("guest_id:b property:s department:s trip_start:t trip_end:t start_tier:s gaming_days:b "
-       "segment:s site:s month:t")
+       "segment:s site:s month:t"
+       " site_group:s net_gaming_revenue:d")
 def visit_base(f):
     return f.base
 
@@ -356,7 +368,8 @@ def cohort_tier_changes(f):
                                    training.new_trips(f.x.tables, COHORT), YEAR)
 
 
-@query("event_id:b snapshot:t user_id:b event_type:s")
+@query("event_id:b snapshot:t user_id:b event_type:s"
+       " ts:c value:d props:s")
 def latest_snapshot(f):
     return tables.latest_rows(f.x.t("events").withColumn("snapshot", F.to_date("ts")), "snapshot")
 
@@ -427,7 +440,11 @@ def train_rollup(f):
 _LABELS = "tier_label:s tier_sub_label:s change_label:s change_sub_label:s"
 
 
-@query("guest_id:b changed_at:c " + _LABELS)
+@query("guest_id:b changed_at:c " + _LABELS
+       + " change_sub_reason:s change_reason:s tier_sub_reason:s tier_reason:s trips:b"
+       " trip_days:b credits:d gaming_credits:d non_gaming_credits:d lodger_trips:b"
+       " local_trips:b drop_in_trips:b tier:s promo_tier:b calendar_year:b"
+       " first_trip_age:b trip_tier:b target_credits:b")
 def reason_labels(f):
     return f.labelled_hist
 
@@ -438,12 +455,19 @@ def set_tier(f):
 
 
 @query("guest_id:b player_id:s changed_at:c trips:b credits:d promo_tier:b tier_after:b "
-       + _LABELS)
+       + _LABELS
+       + " change_sub_reason:s change_reason:s tier_sub_reason:s tier_reason:s"
+       " calendar_year:b gaming_credits:d non_gaming_credits:d tier:s trip_tier:b"
+       " target_credits:b")
 def natural_promotions(f):
     return f.model[0]
 
 
-@query("guest_id:b player_id:s changed_at:c trips:b credits:d earned_share:r " + _LABELS)
+@query("guest_id:b player_id:s changed_at:c trips:b credits:d earned_share:r " + _LABELS
+       + " change_sub_reason:s change_reason:s tier_sub_reason:s tier_reason:s trip_days:b"
+       " gaming_credits:d non_gaming_credits:d lodger_trips:b local_trips:b"
+       " drop_in_trips:b tier:s promo_tier:b calendar_year:b first_trip_age:b trip_tier:b"
+       " target_credits:b")
 def natural_promotions_hist(f):
     return f.natural_hist
 
@@ -478,7 +502,11 @@ def special_only_guests(f):
 
 # trip models --------------------------------------------------------------------------------
 
-@query("guest_id:b trip_id:s trip_start:t changed_at:c credits:d trip_no:b running_credits:d")
+@query("guest_id:b trip_id:s trip_start:t changed_at:c credits:d trip_no:b running_credits:d"
+       " trip_end:t player_id:s property:s tier:s gaming_credits:d non_gaming_credits:d"
+       " gender:s age:b location:s lodging:s tenure:b tier_before:b tier_after:b"
+       " tier_reason:s tier_sub_reason:s change_reason:s change_sub_reason:s"
+       " prev_changed_at:c calendar_year:b")
 def trip_sequence(f):
     return f.numbered
 
@@ -508,7 +536,9 @@ def second_trip_label(f):
 
 
 @query("guest_id:b trip_no:b trip_start:t running_credits:d days_left:b changed_at:c "
-       "prev_changed_at:c tier:b target_credits:b label:b")
+       "prev_changed_at:c tier:b target_credits:b label:b"
+       " trip_end:t hist_credits:d age:b gender:s gaming_share:r non_gaming_share:r"
+       " hist_trips:b hist_trip_days:b hist_first_trip_age:b lodger_share:r local_share:r")
 def trip_labels(f):
     combined, hist_special = f.hist
     natural, special = f.model
@@ -567,7 +597,8 @@ def day_features_new(f):
     return f.new_rows
 
 
-@query(_DAY + " lodging_code:b lodger_share:r local_share:r")
+@query(_DAY + " lodging_code:b lodger_share:r local_share:r"
+       " trip_tier:b prev_changed_on:t changed_on:t promo_tier:b target_credits:b label:b")
 def lodging_running_share(f):
     return days.lodging_shares(f.labelled_days)
 
@@ -582,7 +613,8 @@ def train_rows(f):
     return days.without_promotion_day(f.labelled_days)
 
 
-@query("guest_id:b day:t days_left:b credits:d running_credits:d recency:b")
+@query("guest_id:b day:t days_left:b credits:d running_credits:d recency:b"
+       " day_no:b")
 def active_recent6(f):
     return days.latest_of_active(f.running, date(2024, 1, 20))
 
@@ -621,7 +653,7 @@ def as_text(df, keys):
 
 @query("guest_id:b day:t days_left:b label:b steps:s length:b")
 def seq_trailing6(f):
-    windows = sequences.trailing_windows(f.scored_rows, EVENT_FEATURES)
+    windows = sequences.trailing_windows(f.scored_rows, EVENT_FEATURES, anchors=sequences.BEFORE_YEAR_END)
     return as_text(windows, ["guest_id", "day", "days_left", "label"])
 
 
@@ -643,7 +675,7 @@ def seq_trailing6_overlap(f):
     """Trailing windows where trips overlap and days have several rows."""
     windows = sequences.trailing_windows(
         days.without_promotion_day(f.labelled_days),
-        ("credits", "day_no", "trip_length", "trip_day"))
+        ("credits", "day_no", "trip_length", "trip_day"), anchors=sequences.BEFORE_YEAR_END)
     return as_text(windows, ["guest_id", "day", "days_left", "label"])
 
 
@@ -652,12 +684,14 @@ def seq_trailing6_overlap(f):
 _SCALED = "guest_id:b day:t " + " ".join(f"{c}_scaled:r" for c in EVENT_FEATURES)
 
 
-@query(_SCALED)
+@query(_SCALED
+       + " credits:d days_left:b day_no:b running_credits:d")
 def minmax_scale(f):
     return f.scaled
 
 
-@query(_SCALED)
+@query(_SCALED
+       + " credits:d days_left:b day_no:b running_credits:d")
 def scaler_apply_other(f):
     """Scaler of the first half of January applied to the second half."""
     early, late = F.col("day") < date(2024, 1, 16), F.col("day") >= date(2024, 1, 16)
@@ -665,19 +699,25 @@ def scaler_apply_other(f):
     return features.apply_scaler(model, f.running.where(late), EVENT_FEATURES)
 
 
-@query(_SCALED)
+@query(_SCALED
+       + " credits:d days_left:b day_no:b running_credits:d")
 def scaler_reload(f):
     path = scale.work_path(f.spark, "scaler")
     tables.save_scaler(features.fit_scaler(f.running, EVENT_FEATURES), path)
     return features.apply_scaler(tables.load_scaler(path), f.running, EVENT_FEATURES)
 
 
-@query("guest_id:b day:t label:b")
+@query("guest_id:b day:t label:b"
+       " credits:d days_left:b day_no:b running_credits:d")
 def negative_downsample(f):
     return features.thin_out_negatives(f.scored_rows, 0.7)
 
 
-@query("guest_id:b label:b target_credits:b")
+@query("guest_id:b label:b target_credits:b"
+       " days_left:b credits:d gaming_credits:d non_gaming_credits:d gender:s age:b"
+       " location:s top_tier:b gaming_share:r non_gaming_share:r hist_credits:d"
+       " hist_trips:b hist_trip_days:b hist_first_trip_age:b lodger_share:r local_share:r"
+       " success_trips:b")
 def class_balance(f):
     return features.balance(features.trainable(f.kept_first))
 
@@ -708,7 +748,8 @@ def location_onehot(f):
 
 # scores -------------------------------------------------------------------------------------
 
-@query("guest_id:b day:t score:r")
+@query("guest_id:b day:t score:r"
+       " days_left:b length:b")
 def score_sequences(f):
     names = features.scaled_names(EVENT_FEATURES)
     windows = sequences.padded(sequences.trailing_windows(f.scaled, names), len(names))
@@ -716,7 +757,8 @@ def score_sequences(f):
                                    sequences.STEPS, len(names))
 
 
-@query("guest_id:b day:t score:d flag:b")
+@query("guest_id:b day:t score:d flag:b"
+       " days_left:b label:b")
 def score_flag(f):
     return scoring.flag(f.scores, 0.5)
 
@@ -734,12 +776,12 @@ def train_score(f):
 
 @query("point:b threshold:d tp:b fp:b tpr:r fpr:r")
 def roc_points(f):
-    return evaluation.roc_points(f.scores, drop_collinear=False).where(F.col("point") > 0)
+    return evaluation.roc_points(f.scores, drop_collinear=False)
 
 
 @query("point:b threshold:d tp:b fp:b tpr:r fpr:r")
 def roc_points_sparse(f):
-    return evaluation.roc_points(f.scores).where(F.col("point") > 0)
+    return evaluation.roc_points(f.scores)
 
 
 @query("point:b fpr:r tpr:r")
@@ -757,22 +799,27 @@ def threshold_metrics(f):
     return evaluation.threshold_metrics(f.scores, [0.15, 0.3, 0.35, 0.5])
 
 
-@query("guest_id:b day:t score:d guest_scores:b")
+@query("guest_id:b day:t score:d guest_scores:b"
+       " days_left:b label:b")
 def score_counts(f):
     return evaluation.with_score_counts(f.scores)
 
 
-@query("guest_id:b day:t days_left:b credits:d running_credits:d score:d")
+@query("guest_id:b day:t days_left:b credits:d running_credits:d score:d"
+       " day_no:b label:b")
 def fp_rows(f):
     return f.fp
 
 
-@query("guest_id:b day:t score:d game_type:s worth_18m:d enrolled_on:t")
+@query("guest_id:b day:t score:d game_type:s worth_18m:d enrolled_on:t"
+       " days_left:b credits:d day_no:b running_credits:d label:b")
 def fp_profile(f):
     return f.fp_profiles
 
 
-@query("guest_id:b day:t score:d trip_start:t trip_end:t win_loss:d")
+@query("guest_id:b day:t score:d trip_start:t trip_end:t win_loss:d"
+       " days_left:b credits:d day_no:b running_credits:d label:b game_type:s"
+       " enrolled_on:t worth_18m:r")
 def fp_winloss(f):
     return evaluation.with_win_loss(f.fp_profiles, visits.win_loss(f.x.visits))
 
