@@ -93,21 +93,24 @@ def with_labels(rows: DataFrame, intervals: DataFrame, year: int) -> DataFrame:
 
 
 def _with_target(rows: DataFrame) -> DataFrame:
+    """Rows that have a target; an unreadable lodging state has the code 0."""
     return (rows.withColumn("target_credits", target_credits("trip_tier"))
             .where(F.col("target_credits") > 0)
-            .withColumn("lodging_code", coded_number("lodging")).drop("lodging"))
+            .withColumn("lodging_code", F.coalesce(coded_number("lodging"), F.lit(0))).drop("lodging"))
 
 
 def day_features(ledger: DataFrame, xref: DataFrame, trips: DataFrame, natural: DataFrame,
                  special: DataFrame, year: int, combined: DataFrame | None = None,
                  hist_special: DataFrame | None = None) -> DataFrame:
-    """Labelled day rows; with the prior year's history for returning guests."""
+    """Labelled day rows; with the prior year's history for returning guests, without it with
+    the running lodging shares. Copies of a row go last, so they count in the shares."""
     excluded = [special] if hist_special is None else [special, hist_special]
     days = number_days(keep_population(daily_credits(ledger, xref, year), combined, *excluded))
     rows = within_trips(days, trips)
     if combined is not None:
         rows = rows.join(combined, "guest_id")
-    return with_labels(rows, promotion_intervals(natural, year), year).distinct()
+    labelled = with_labels(rows, promotion_intervals(natural, year), year)
+    return (labelled if combined is not None else lodging_shares(labelled)).distinct()
 
 
 def inference_features(ledger: DataFrame, xref: DataFrame, trips: DataFrame, year: int,

@@ -8,25 +8,34 @@ from pyspark.sql import functions as F
 
 from stayledger.operators.scale import materialize
 
-PARTS = 256
+#: Distinct scores of a range, about.
+RANGE_SCORES = 50_000
 
 
-def _score_groups(scores: DataFrame) -> DataFrame:
+def _score_groups(scores: DataFrame, range_scores: int = RANGE_SCORES) -> DataFrame:
     """Positives and negatives per distinct score, with the score range they belong to.
 
-    The ranges hold about the same number of distinct scores each; their bounds only
-    spread the work and do not touch the result.
+    There are as many ranges as there are ``range_scores`` distinct scores; their bounds only
+    spread the work and do not touch the result. Null and NaN scores have no rank: they fail
+    the job.
     """
-    groups = materialize(scores.groupBy("score").agg(
+    ranked = F.when(F.col("score").isNull() | F.isnan("score"), F.raise_error(
+        F.lit("scores to rank must be numbers, found null or NaN")).cast("double")).otherwise(
+            F.col("score").cast("double"))
+    groups = materialize(scores.groupBy(ranked.alias("score")).agg(
         F.sum(F.col("label").cast("long")).alias("pos"),
         F.sum((1 - F.col("label")).cast("long")).alias("neg")))
-    cuts = sorted(set(groups.approxQuantile("score", [i / PARTS for i in range(1, PARTS)], 0.001)))
+    parts = -(-groups.count() // range_scores)
+    if parts < 2:
+        return groups.withColumn("part", F.lit(0.0))
+    cuts = sorted(set(groups.approxQuantile(
+        "score", [i / parts for i in range(1, parts)], 0.25 / parts)))
     return Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="score",
                       outputCol="part").transform(groups)
 
 
 def _part_totals(groups: DataFrame) -> DataFrame:
-    """Totals per range, with those of all higher ranges; never more than ``PARTS`` rows."""
+    """Totals per range, with those of all higher ranges; a row for each range."""
     per_part = groups.groupBy("part").agg(
         F.sum("pos").alias("part_pos"), F.sum("neg").alias("part_neg"),
         F.max_by(F.struct("pos", "neg"), "score").alias("head"))
@@ -42,13 +51,14 @@ def _part_totals(groups: DataFrame) -> DataFrame:
         F.lead("head").over(falling).alias("next_head"))
 
 
-def roc_points(scores: DataFrame, drop_collinear: bool = True) -> DataFrame:
+def roc_points(scores: DataFrame, drop_collinear: bool = True,
+               range_scores: int = RANGE_SCORES) -> DataFrame:
     """Rates at every distinct score, taken as the lowest score called positive.
 
-    Point 0 is the origin, at an infinite threshold. Points inside a straight run can be
-    dropped; the indexes count the points that are left.
+    Point 0 is the origin, at an infinite threshold, and all there is without scores. Points
+    inside a straight run can be dropped; the indexes count the points that are left.
     """
-    groups = _score_groups(scores)
+    groups = _score_groups(scores, range_scores)
     totals = _part_totals(groups)
     falling = Window.partitionBy("part").orderBy(F.desc("score"))
     so_far = falling.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -86,13 +96,13 @@ def first_point_below(points: DataFrame, threshold: float) -> DataFrame:
                                F.min_by("tpr", "point").alias("tpr"))
 
 
-def auc(scores: DataFrame) -> DataFrame:
+def auc(scores: DataFrame, range_scores: int = RANGE_SCORES) -> DataFrame:
     """Area under the ROC curve: chance that a positive outranks a negative, ties half.
 
     The pairs are counted in whole numbers, so that the value does not depend on the
-    order of the work.
+    order of the work. Without scores, or with one class only, the area is null.
     """
-    groups = _score_groups(scores)
+    groups = _score_groups(scores, range_scores)
     falling = Window.partitionBy("part").orderBy(F.desc("score"))
     so_far = falling.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     neg_from = F.col("neg_above") + F.sum("neg").over(so_far)
@@ -130,14 +140,17 @@ def with_score_counts(scores: DataFrame) -> DataFrame:
 
 
 def false_positive_rows(rows: DataFrame, scores: DataFrame, above: float = 0.5) -> DataFrame:
-    """Scored day rows of never-promoted guests who exceed a score at least once."""
-    promoted = rows.groupBy("guest_id").agg(F.sum("label").alias("_positives")).where(
-        F.col("_positives") > 0)
-    scored = (rows.join(scores.drop("label", "day"), ["guest_id", "days_left"])
-              .join(promoted, "guest_id", "left_anti"))
-    alarmed = scored.groupBy("guest_id").agg(F.max("score").alias("_top")).where(
-        F.col("_top") > above)
-    return scored.join(alarmed.select("guest_id"), "guest_id", "left_semi")
+    """Scored day rows of never-promoted guests who exceed a score at least once.
+
+    The scored rows are kept once; one aggregation tells both about a guest.
+    """
+    known = scores.drop("label", "day").withColumn("_scored", F.lit(True))
+    scored = materialize(rows.join(known, ["guest_id", "days_left"], "left"), "scored")
+    chosen = scored.groupBy("guest_id").agg(
+        F.max("label").alias("_positive"), F.max("score").alias("_top")).where(
+        (F.coalesce("_positive", F.lit(0)) == 0) & (F.col("_top") > above))
+    return scored.where("_scored").drop("_scored").join(
+        chosen.select("guest_id"), "guest_id", "left_semi")
 
 
 def false_positive_profile(fp_rows: DataFrame, profiles: DataFrame,

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     MinMaxScaler, MinMaxScalerModel, OneHotEncoder, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayledger.functions.codes import hash_bucket, promo_trip_bucket
@@ -98,10 +98,9 @@ def trip_training_set(rows: DataFrame, balanced: bool = True) -> DataFrame:
 
 def category_index(rows: DataFrame, column: str) -> DataFrame:
     """Index of each value by falling frequency, equal ones in alphabetical order."""
-    known = rows.dropna(subset=[column])
-    indexed = StringIndexer(inputCol=column, outputCol="idx").fit(known).transform(known)
-    return indexed.groupBy(column).agg(
-        F.max("idx").cast("long").alias("idx"), F.count("*").alias("rows"))
+    counts = rows.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias("rows"))
+    order = Window.orderBy(F.desc("rows"), column)  # over one row for each value
+    return counts.withColumn("idx", F.row_number().over(order).cast("long") - 1)
 
 
 def profile(rows: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -165,9 +165,10 @@ def unpromoted_history(history: DataFrame) -> DataFrame:
 
 
 def combined_history(promoted: DataFrame, unpromoted: DataFrame) -> DataFrame:
-    """One row per guest: sums of both parts and ratios of sums."""
+    """One row per guest: sums of both parts and ratios of sums, 0 where the whole is 0."""
     def ratio(part: str, whole: str):
-        return F.try_divide(F.sum(part).cast("double"), F.sum(whole).cast("double"))
+        return F.coalesce(F.try_divide(F.sum(part).cast("double"), F.sum(whole).cast("double")),
+                          F.lit(0.0))
 
     return promoted.unionByName(unpromoted).groupBy("guest_id").agg(
         F.max("top_tier").alias("top_tier"),

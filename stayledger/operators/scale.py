@@ -52,19 +52,24 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
 def running_total(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:
     """Running sum per key up to and including rows of the same instant.
 
-    A key with a large part of the rows is spread over the hours of its rows: only one
-    total per hour is ordered per key.
+    Rows of an instant are summed before any window. A key with a large part of the rows is
+    spread over its hours and their minutes: a window orders the hours of a key, the minutes
+    of an hour or the instants of a minute.
     """
-    hour = ["_day", "_hour"]
-    tagged = df.withColumn("_day", F.to_date(ts)).withColumn("_hour", F.hour(ts))
-    totals = tagged.groupBy(key, *hour).agg(F.sum(value).alias("_total"))
-    before = Window.partitionBy(key).orderBy(*hour).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, *hour, F.sum("_total").over(before).alias("_before"))
-    inside = Window.partitionBy(key, *hour).orderBy(ts).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (tagged.join(offsets, [key, *hour])
-            .withColumn(out, F.coalesce("_before", F.lit(0)) + F.sum(value).over(inside))
-            .drop(*hour, "_before"))
+    instants = df.groupBy(key, ts).agg(F.sum(value).alias("_total")).withColumns({
+        "_hour": F.date_trunc("hour", ts), "_minute": F.date_trunc("minute", ts)})
+    back = Window.unboundedPreceding
+    hours = instants.groupBy(key, "_hour").agg(F.sum("_total").alias("_total")).select(
+        key, "_hour", F.sum("_total").over(
+            Window.partitionBy(key).orderBy("_hour").rowsBetween(back, -1)).alias("_hours"))
+    minutes = instants.groupBy(key, "_hour", "_minute").agg(F.sum("_total").alias("_total")).select(
+        key, "_hour", "_minute", F.sum("_total").over(
+            Window.partitionBy(key, "_hour").orderBy("_minute").rowsBetween(back, -1)).alias("_minutes"))
+    inside = Window.partitionBy(key, "_hour", "_minute").orderBy(ts).rowsBetween(back, Window.currentRow)
+    running = (instants.join(minutes, [key, "_hour", "_minute"]).join(hours, [key, "_hour"])
+               .select(key, ts, (F.coalesce("_hours", F.lit(0)) + F.coalesce("_minutes", F.lit(0))
+                                 + F.sum("_total").over(inside)).alias(out)))
+    return df.join(running, [key, ts])
 
 
 def previous_instant(df: DataFrame, key: str, ts: str, out: str, first: Column,

@@ -93,7 +93,7 @@ def returning_rows(src: Tables, cohort_trips: DataFrame, year: int,
 def new_guest_rows(src: Tables, cohort_trips: DataFrame, year: int) -> DataFrame:
     with_next, natural, special = model_year(src, cohort_trips, year)
     rows = days.day_features(src["ledger"], src["member_xref"], with_next, natural, special, year)
-    return days.drop_inconsistent(materialize(days.lodging_shares(rows), "new_days"))
+    return days.drop_inconsistent(materialize(rows, "new_days"))
 
 
 def training_sequences(rows: DataFrame, returning: bool, scaler=None):

@@ -133,8 +133,10 @@ def history(labelled_periods, periods_name):
 
 
 COMBINED = """SELECT guest_id, max(top_tier) AS top_tier,
-    CAST(sum(gaming_credits) AS DOUBLE) / CAST(sum(credits) AS DOUBLE) AS gaming_share,
-    CAST(sum(non_gaming_credits) AS DOUBLE) / CAST(sum(credits) AS DOUBLE) AS non_gaming_share,
+    CASE WHEN sum(credits) = 0 THEN 0 ELSE CAST(sum(gaming_credits) AS DOUBLE)
+      / CAST(sum(credits) AS DOUBLE) END AS gaming_share,
+    CASE WHEN sum(credits) = 0 THEN 0 ELSE CAST(sum(non_gaming_credits) AS DOUBLE)
+      / CAST(sum(credits) AS DOUBLE) END AS non_gaming_share,
     sum(credits) AS hist_credits, sum(trips) AS hist_trips, sum(trip_days) AS hist_trip_days,
     max(first_trip_age) AS hist_first_trip_age,
     CAST(sum(lodger_trips) AS DOUBLE) / CAST(sum(trips) AS DOUBLE) AS lodger_share,
@@ -163,7 +165,7 @@ def labels(rows, spans, year):
     lifted = "CASE WHEN r.trip_tier < i.promo_tier THEN i.promo_tier ELSE r.trip_tier END"
     return f"""SELECT r.* EXCLUDE (trip_tier, lodging), i.prev_changed_on, i.changed_on,
         i.promo_tier, {lifted} AS trip_tier, {ladder(lifted)} AS target_credits,
-        {number('lodging')} AS lodging_code,
+        coalesce({number('lodging')}, 0) AS lodging_code,
         CASE WHEN r.day > i.changed_on - 7 AND year(i.changed_on) = {year} THEN 1 ELSE 0 END
           AS label
       FROM {rows} r LEFT JOIN {spans} i ON r.guest_id = i.guest_id
@@ -494,8 +496,8 @@ CTES: dict[str, str] = {
         "st_rows_hist", "st_intervals", 2024) + ")",
     "st_rows_new": in_trips("st_population_new_days", "st_disjoint",
                             f"coalesce(t.tier_before, {number('t.tier')})"),
-    "st_day_features_new": "SELECT DISTINCT * FROM (" + labels(
-        "st_rows_new", "st_intervals", 2024) + ")",
+    "st_day_labels_new": labels("st_rows_new", "st_intervals", 2024),
+    "st_day_features_new": "SELECT DISTINCT * FROM (" + shares("st_day_labels_new") + ")",
     "st_ledger_numbered": numbered_days("st_ledger_days"),
     # inference of a cohort: returning guests keep their history within the cohort's trips
     "ci_trips": """SELECT * FROM st_rolled_to_end WHERE guest_id IN (
@@ -685,7 +687,7 @@ BODIES: dict[str, str] = {
     "promo_intervals": "FROM st_day_intervals",
     "day_labels": "FROM st_day_labels",
     "day_features": "FROM st_day_features",
-    "day_features_new": shares("st_day_features_new"),
+    "day_features_new": "FROM st_day_features_new",
     "lodging_running_share": shares("st_day_labels"),
     "drop_inconsistent": """FROM st_day_features WHERE guest_id NOT IN (
         SELECT guest_id FROM st_day_features WHERE running_credits > target_credits

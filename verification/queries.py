@@ -131,8 +131,8 @@ class Flow:
     @cached_property
     def new_rows(self):
         natural, special = self.model
-        return days.lodging_shares(days.day_features(
-            self.x.ledger, self.x.xref, self.next_promotions, natural, special, YEAR))
+        return days.day_features(
+            self.x.ledger, self.x.xref, self.next_promotions, natural, special, YEAR)
 
     # the event stream as active days
 
@@ -142,7 +142,7 @@ class Flow:
 
     @cached_property
     def running(self):
-        return days.number_days(self.daily)
+        return scale.materialize(days.number_days(self.daily), "running")
 
     @cached_property
     def in_trips(self):
