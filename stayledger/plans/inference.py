@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stayledger.operators import days, features, scoring, sequences, trips, visits
 from stayledger.operators.ledger import of_years
@@ -52,11 +54,24 @@ def log_scored(scores: DataFrame, path: str) -> None:
     tables.log_run(tables.freshness(scores, "scores", "day"), path)
 
 
+def daily_run(src: Tables, cohort: Cohort, as_of: list[date], scaler_path: str, scorer: scoring.Scorer,
+              threshold: float, returning: bool, log_path: str) -> DataFrame:
+    """From source tables to scored guests: day rows, stored scaler, scores and flags of the
+    guests who were active the day before each date; counts go to the run log."""
+    rows = materialize((returning_rows if returning else new_guest_rows)(src, cohort), "rows")
+    scaler, runs = tables.load_scaler(scaler_path), []
+    for when in as_of:
+        scores = materialize(score_active(rows, when, scaler, scorer, threshold, returning), "scores")
+        log_scored(scores, log_path)
+        runs.append(scores.withColumn("as_of", F.lit(when)))
+    return reduce(DataFrame.unionByName, runs)
+
+
 def score_active(rows: DataFrame, as_of: date, scaler, scorer: scoring.Scorer, threshold: float,
                  returning: bool) -> DataFrame:
-    """Score and flag of yesterday's guests, from their latest rows."""
+    """Score and flag of yesterday's guests, from their latest rows before ``as_of``."""
     names = RETURNING_FEATURES if returning else NEW_GUEST_FEATURES
-    latest = days.latest_of_active(rows, as_of, sequences.STEPS)
+    latest = days.latest_of_active(rows.where(rows.day < as_of), as_of, sequences.STEPS)
     scaled = features.apply_scaler(scaler, latest, names)
     windows = sequences.padded(
         sequences.trailing_windows(scaled, features.scaled_names(names)), len(names))

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import re
 
-from verification.queries import BIAS, EVENT_FEATURES, SPECS, WEIGHTS
+from verification.queries import (
+    AS_OF, BIAS, EVENT_FEATURES, MODEL_BIAS, NEW_GUEST_FEATURES, RETURNING_FEATURES, SPECS, WEIGHTS,
+    model_weights)
 from verification.shape import shape_sql
 
 #: Local clock: the ten summers, both ends included.
@@ -780,6 +782,93 @@ BODIES: dict[str, str] = {
 }
 
 
+def scaled_rows(source, names):
+    """Rows with every feature scaled by its range over all of them; a constant one is one half."""
+    bounds = ", ".join(f"min(CAST({c} AS DOUBLE)) AS lo_{c}, max(CAST({c} AS DOUBLE)) AS hi_{c}"
+                       for c in names)
+    cells = ", ".join(f"CASE WHEN hi_{c} = lo_{c} THEN 0.5 ELSE (CAST({c} AS DOUBLE) - lo_{c}) "
+                      f"/ (hi_{c} - lo_{c}) END AS {c}_scaled" for c in names)
+    return f"SELECT r.*, {cells} FROM {source} r, (SELECT {bounds} FROM {source})"
+
+
+def mean_logit(names, over=""):
+    return " + ".join(f"({w}::DOUBLE * avg({c}_scaled){over})"
+                      for w, c in zip(model_weights(names), names)) + f" + {MODEL_BIAS}::DOUBLE"
+
+
+def scored_active(source, scaled, names):
+    """Yesterday's guests by the mean of their latest six rows."""
+    return " UNION ALL ".join(f"""SELECT guest_id, DATE '{when}' - 1 AS day,
+        min(days_left) AS days_left, count(*) AS length, DATE '{when}' AS as_of,
+        1.0::DOUBLE / (1.0::DOUBLE + exp(-({mean_logit(names)}))) AS score
+      FROM (SELECT * FROM {scaled} WHERE day < DATE '{when}' AND guest_id IN (
+          SELECT guest_id FROM {source} WHERE day = DATE '{when}' - 1)
+        QUALIFY row_number() OVER (PARTITION BY guest_id ORDER BY days_left, trip_day,
+          trip_length DESC, lodging_code DESC NULLS LAST, trip_tier DESC NULLS LAST) <= 6)
+      GROUP BY guest_id""" for when in AS_OF)
+
+
+LAST_OF_DAY = """row_number() OVER (PARTITION BY guest_id, day ORDER BY trip_day, trip_length DESC,
+    lodging_code DESC, trip_tier DESC, changed_on DESC NULLS FIRST) = 1"""
+OF_GUEST = f"""PARTITION BY guest_id ORDER BY {ROW_ORDER} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW"""
+
+
+def training_steps(scaled, names, share):
+    step = ", ".join(f"CAST(CAST(round({c}_scaled * 1000000) AS BIGINT) AS VARCHAR)" for c in names)
+    pad = ";" + ",".join("0" for _ in names)
+    return f"""SELECT * REPLACE (steps || repeat('{pad}', CAST(6 - length AS BIGINT)) AS steps) FROM (
+      SELECT guest_id, day, days_left, label, array_to_string(list(step) OVER w, ';') AS steps,
+        count(*) OVER w AS length
+      FROM (SELECT *, concat_ws(',', {step}) AS step FROM {scaled} WHERE {NO_PROMOTION_DAY}
+          AND guest_id NOT IN (SELECT guest_id FROM {scaled} GROUP BY guest_id
+            HAVING sum(label) = 0 AND {bucket('guest_id', '269')} < {share}))
+      WINDOW w AS ({OF_GUEST}) QUALIFY days_left BETWEEN 1 AND 365 AND {LAST_OF_DAY})"""
+
+
+def simulated(scaled, names):
+    return f"""SELECT *, count(*) OVER (PARTITION BY guest_id) AS guest_scores FROM (
+      SELECT guest_id, day, days_left, label, count(*) OVER w AS length,
+        round(1.0::DOUBLE / (1.0::DOUBLE + exp(-({mean_logit(names, ' OVER w')}))), 6) AS score
+      FROM {scaled} WHERE {NO_PROMOTION_DAY}
+      WINDOW w AS ({OF_GUEST}) QUALIFY days_left BETWEEN 1 AND 365 AND {LAST_OF_DAY})"""
+
+
+CONSISTENT = """SELECT * FROM {rows} WHERE guest_id NOT IN (
+    SELECT guest_id FROM {rows} WHERE running_credits > target_credits
+      AND (day <> changed_on OR changed_on IS NULL))"""
+CTES |= {
+    "ci_scaled": scaled_rows("ci_rows", RETURNING_FEATURES),
+    "ni_shared": shares("ni_rows"),
+    "ni_scaled": scaled_rows("ni_shared", NEW_GUEST_FEATURES),
+    "ci_active": scored_active("ci_rows", "ci_scaled", RETURNING_FEATURES),
+    "ni_active": scored_active("ni_shared", "ni_scaled", NEW_GUEST_FEATURES),
+    "st_model": CONSISTENT.format(rows="st_day_features"),
+    "st_model_new": CONSISTENT.format(rows="st_day_features_new"),
+    "st_model_scaled": scaled_rows("st_model", RETURNING_FEATURES),
+    "st_model_new_scaled": scaled_rows("st_model_new", NEW_GUEST_FEATURES),
+    "st_simulated": simulated("st_model_scaled", RETURNING_FEATURES),
+    "st_simulated_new": simulated("st_model_new_scaled", NEW_GUEST_FEATURES),
+    "st_sim_curve": CTES["st_curve"].replace("st_scores", "st_simulated_new"),
+    "st_sim_sparse": CTES["st_sparse"].replace("st_curve", "st_sim_curve"),
+}
+BODIES |= {
+    "score_active_returning": "SELECT *, CASE WHEN score >= 0.4 THEN 1 ELSE 0 END AS flag FROM ci_active",
+    "score_active_new": "SELECT *, CASE WHEN score >= 0.4 THEN 1 ELSE 0 END AS flag FROM ni_active",
+    "scored_run_log": " UNION ALL ".join(
+        f"SELECT 'scores' AS step, CAST(max(day) AS TIMESTAMP) AS latest, count(*) AS row_count "
+        f"FROM {source} WHERE as_of = DATE '{when}'"
+        for source in ("ci_active", "ni_active") for when in AS_OF),
+    "train_sequences_returning": training_steps("st_model_scaled", RETURNING_FEATURES, 700),
+    "train_sequences_new": training_steps("st_model_new_scaled", NEW_GUEST_FEATURES, 500),
+    "simulate_scores": "FROM st_simulated",
+    "simulate_scores_new": "FROM st_simulated_new",
+    "simulate_roc": BODIES["roc_points_sparse"].replace("st_sparse", "st_sim_sparse"),
+    "simulate_auc": BODIES["auc"].replace("st_curve", "st_sim_curve"),
+    "simulate_thresholds": " UNION ALL ".join(
+        _metrics(t).replace("st_scores", "st_simulated_new") for t in (0.3, 0.35, 0.4)),
+}
+
+
 def with_ctes(body: str) -> str:
     """The body behind every expression it needs, in order of dependence."""
     ordered: list[str] = []

@@ -14,7 +14,9 @@ from stayledger.functions import codes
 from stayledger.operators import (
     days, evaluation, features, history, ledger, scale, scoring, sequences, tiers, trip_models,
     trips, visits)
+from stayledger.plans import evaluation as back_test
 from stayledger.plans import inference, training
+from stayledger.schemas import NEW_GUEST_FEATURES, RETURNING_FEATURES
 from stayledger.sources import tables
 from verification.shape import shape
 from verification.standins import ONLINE, PROPERTY, SHARE, SYSTEM, StandIns
@@ -22,6 +24,15 @@ from verification.standins import ONLINE, PROPERTY, SHARE, SYSTEM, StandIns
 HIST, YEAR = 2023, 2024
 EVENT_FEATURES = ("credits", "days_left", "day_no", "running_credits")
 WEIGHTS, BIAS = (1.5, -2.0, 0.5, 3.0), -1.0
+#: Days on which the daily run is tried: in the year, and the first of the next one.
+AS_OF = (date(2024, 6, 16), date(2025, 1, 1))
+MODEL_BIAS = -0.5
+
+
+def model_weights(names):
+    return tuple((i % 5 - 2) / 2 for i in range(len(names)))
+
+
 COHORT = training.Cohort(PROPERTY, YEAR, ONLINE, SHARE)
 
 SPECS: dict[str, str] = {}
@@ -134,6 +145,42 @@ class Flow:
         return days.day_features(
             self.x.ledger, self.x.xref, self.next_promotions, natural, special, YEAR)
 
+    @cached_property
+    def returning_model_rows(self):
+        return scale.materialize(
+            training.returning_rows(self.x.tables, self.kept_rolled, YEAR), "returning")
+
+    @cached_property
+    def new_model_rows(self):
+        return scale.materialize(
+            training.new_guest_rows(self.x.tables, self.kept_rolled, YEAR), "new")
+
+    def scaler_of(self, rows, names):
+        path = scale.work_path(self.spark, "scaler")
+        tables.save_scaler(features.fit_scaler(rows, names), path)
+        return path
+
+    def daily_run(self, returning):
+        """Scores of the daily run and the path of its log."""
+        names = RETURNING_FEATURES if returning else NEW_GUEST_FEATURES
+        rows = (inference.returning_rows if returning else inference.new_guest_rows)(self.x.tables, COHORT)
+        log = scale.work_path(self.spark, "run_log")
+        return inference.daily_run(
+            self.x.tables, COHORT, list(AS_OF), self.scaler_of(rows, names),
+            scoring.LinearScorer(model_weights(names), MODEL_BIAS), 0.4, returning, log), log
+
+    def simulated(self, returning):
+        """Back-test scores in whole millionths, kept."""
+        rows = self.returning_model_rows if returning else self.new_model_rows
+        names = RETURNING_FEATURES if returning else NEW_GUEST_FEATURES
+        scores = back_test.simulate(rows, features.fit_scaler(rows, names),
+                                    scoring.LinearScorer(model_weights(names), MODEL_BIAS), names)
+        return scale.materialize(scores.withColumn("score", F.round("score", 6)), "simulated")
+
+    @cached_property
+    def simulated_new(self):
+        return self.simulated(False)
+
     # the event stream as active days
 
     @cached_property
@@ -644,10 +691,10 @@ def inference_new(f):
 
 # sequences ----------------------------------------------------------------------------------
 
-def as_text(df, keys):
-    """Sequences as text, values in hundredths, so that arrays compare exactly."""
+def as_text(df, keys, unit=100):
+    """Sequences as text, values in whole parts of a unit, so that arrays compare exactly."""
     row = F.transform("sequence", lambda r: F.array_join(
-        F.transform(r, lambda v: F.round(v * 100).cast("long").cast("string")), ","))
+        F.transform(r, lambda v: F.round(v * unit).cast("long").cast("string")), ","))
     return df.select(*keys, F.array_join(row, ";").alias("steps"), "length")
 
 
@@ -834,6 +881,76 @@ def linked_accounts(f):
     return evaluation.linked_account_guests(f.x.linked, f.x.xref, f.running)
 
 
+# whole runs -----------------------------------------------------------------------------------
+
+_SCORED = "guest_id:b day:t days_left:b length:b score:r flag:b as_of:t"
+
+
+@query(_SCORED)
+def score_active_returning(f):
+    return f.daily_run(True)[0]
+
+
+@query(_SCORED)
+def score_active_new(f):
+    return f.daily_run(False)[0]
+
+
+@query("step:s latest:c row_count:b")
+def scored_run_log(f):
+    """The run log of both kinds of guests, as the daily run has appended it."""
+    logs = [f.daily_run(returning)[1] for returning in (True, False)]
+    return f.spark.read.parquet(*logs)
+
+
+_STEPS = "guest_id:b day:t days_left:b label:b steps:s length:b"
+
+
+def _training_sequences(f, rows, returning):
+    _, windows = training.training_sequences(rows, returning)
+    path = scale.work_path(f.spark, "sequences")
+    tables.write(windows, path)
+    return as_text(f.spark.read.parquet(path), ["guest_id", "day", "days_left", "label"], 1_000_000)
+
+
+@query(_STEPS)
+def train_sequences_returning(f):
+    return _training_sequences(f, f.returning_model_rows, True)
+
+
+@query(_STEPS)
+def train_sequences_new(f):
+    return _training_sequences(f, f.new_model_rows, False)
+
+
+_SIMULATED = "guest_id:b day:t days_left:b label:b length:b score:r guest_scores:b"
+
+
+@query(_SIMULATED)
+def simulate_scores(f):
+    return f.simulated(True)
+
+
+@query(_SIMULATED)
+def simulate_scores_new(f):
+    return f.simulated_new
+
+
+@query("point:b threshold:d tp:b fp:b tpr:r fpr:r")
+def simulate_roc(f):
+    return back_test.report(f.simulated_new, [0.3])["roc"]
+
+
+@query("positives:b negatives:b auc:d")
+def simulate_auc(f):
+    return back_test.report(f.simulated_new, [0.3])["auc"]
+
+
+@query("threshold:d tpr:r fpr:r alerts_per_day:r")
+def simulate_thresholds(f):
+    return back_test.report(f.simulated_new, [0.3, 0.35, 0.4])["thresholds"]
+
+
 def runnable() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(name):
         return lambda spark, sf_dir: shape(BODIES[name](Flow(spark, sf_dir)), SPECS[name])
