@@ -26,10 +26,8 @@ def _score_groups(scores: DataFrame, range_scores: int = RANGE_SCORES) -> DataFr
         F.sum(F.col("label").cast("long")).alias("pos"),
         F.sum((1 - F.col("label")).cast("long")).alias("neg")))
     parts = -(-groups.count() // range_scores)
-    if parts < 2:
-        return groups.withColumn("part", F.lit(0.0))
     cuts = sorted(set(groups.approxQuantile(
-        "score", [i / parts for i in range(1, parts)], 0.25 / parts)))
+        "score", [i / parts for i in range(1, parts)], 0.25 / parts))) if parts > 1 else [0.0]
     return Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="score",
                       outputCol="part").transform(groups)
 

@@ -14,6 +14,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayledger.functions.codes import sigmoid
+
 # The scorers travel with the task, so the workers need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -92,14 +94,38 @@ def _flat_vector(sequences: DataFrame) -> DataFrame:
     return sequences.withColumn("_x", array_to_vector(F.flatten("sequence")))
 
 
-def train_classifier(sequences: DataFrame, positive_weight: float = 40.0,
-                     iterations: int = 20) -> LogisticRegressionModel:
-    """Weighted binary classifier on flattened padded sequences."""
-    weighted = _flat_vector(sequences).select(
-        "_x", F.col("label").cast("double").alias("label"),
-        F.when(F.col("label") == 1, positive_weight).otherwise(1.0).alias("_w"))
-    return LogisticRegression(featuresCol="_x", labelCol="label", weightCol="_w",
-                              maxIter=iterations, regParam=0.01).fit(weighted)
+#: Fixed value: weight of a positive row.
+POSITIVE_WEIGHT = 40.0
+PENALTY = 0.01
+
+
+def with_class_weight(sequences: DataFrame, positive_weight: float = POSITIVE_WEIGHT) -> DataFrame:
+    return sequences.withColumn("weight", F.when(F.col("label") == 1, positive_weight).otherwise(1.0))
+
+
+def train_classifier(sequences: DataFrame, positive_weight: float = POSITIVE_WEIGHT,
+                     iterations: int = 200) -> LogisticRegressionModel:
+    """Weighted binary classifier on flattened padded sequences of scaled values."""
+    weighted = _flat_vector(with_class_weight(sequences, positive_weight)).select(
+        "_x", F.col("label").cast("double").alias("label"), "weight")
+    return LogisticRegression(featuresCol="_x", labelCol="label", weightCol="weight", tol=1e-10,
+                              maxIter=iterations, regParam=PENALTY, standardization=False).fit(weighted)
+
+
+def loss_gradient(model: LogisticRegressionModel, sequences: DataFrame,
+                  positive_weight: float = POSITIVE_WEIGHT) -> DataFrame:
+    """(coefficient, gradient) of the weighted mean loss with its penalty at the fitted values;
+    coefficient -1 is the intercept, which has no penalty. Zero everywhere at the optimum."""
+    beta = [float(b) for b in model.coefficients]
+    x = F.concat(F.array(F.lit(1.0)), F.flatten("sequence"))
+    dot = F.aggregate(F.zip_with(x, F.array(*map(F.lit, [float(model.intercept), *beta])), lambda a, b: a * b),
+                      F.lit(0.0), lambda total, v: total + v)
+    rows = with_class_weight(sequences, positive_weight).select(
+        "weight", (F.col("weight") * (sigmoid(dot) - F.col("label"))).alias("_r"), x.alias("_x"))
+    sums = rows.select("weight", "_r", F.posexplode("_x").alias("_k", "_v")).groupBy("_k").agg(
+        (F.sum(F.col("_r") * F.col("_v")) / F.sum("weight")).alias("_g"))
+    penalty = F.element_at(F.array(F.lit(0.0), *(F.lit(PENALTY * b) for b in beta)), F.col("_k") + 1)
+    return sums.select((F.col("_k") - 1).alias("coefficient"), (F.col("_g") + penalty).alias("gradient"))
 
 
 def classify(model: LogisticRegressionModel, sequences: DataFrame) -> DataFrame:

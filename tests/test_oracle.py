@@ -17,8 +17,7 @@ def con():
 
 
 def test_every_twin_belongs_to_a_query():
-    assert set(STATEMENTS) <= set(RUNNABLE)
-    assert set(RUNNABLE) - set(STATEMENTS) == {"train_score"}
+    assert set(STATEMENTS) == set(RUNNABLE)
 
 
 @pytest.mark.parametrize("name", list(STATEMENTS))
@@ -26,7 +25,6 @@ def test_same_as_sql(spark, con, name):
     assert differences(spark, RUNNABLE[name], STATEMENTS[name], SF_DIR, con) == []
 
 
-def test_train_score_gives_probabilities(spark):
-    rows = RUNNABLE["train_score"](spark, SF_DIR).collect()
-    assert rows and all(0.0 <= r.score <= 1.0 for r in rows)
-    assert {r.side for r in rows} == {"train", "test"}
+@pytest.mark.parametrize("name", ["train_score", "seq_trailing6", "roc_points", "day_features", "hist_combined"])
+def test_has_rows_to_compare(spark, name):
+    assert len(RUNNABLE[name](spark, SF_DIR).take(20)) == 20

@@ -860,6 +860,15 @@ BODIES |= {
         for source in ("ci_active", "ni_active") for when in AS_OF),
     "train_sequences_returning": training_steps("st_model_scaled", RETURNING_FEATURES, 700),
     "train_sequences_new": training_steps("st_model_new_scaled", NEW_GUEST_FEATURES, 500),
+    "train_score": f"""SELECT s.* REPLACE (steps || repeat(';0,0,0,0', CAST(6 - length AS BIGINT)) AS steps),
+        CASE WHEN label = 1 THEN 40 ELSE 1 END AS weight, 1 AS probability,
+        CASE WHEN {bucket('guest_id', 'split')} < 800 THEN 'train' ELSE 'test' END AS side
+      FROM (SELECT guest_id, day, days_left, label, array_to_string(list(step) OVER ({_LAST6}), ';') AS steps,
+          count(*) OVER ({_LAST6}) AS length
+        FROM (SELECT c.*, s.label, concat_ws(',', {', '.join(
+            f"CAST(CAST(round({c}_scaled * 1000000) AS BIGINT) AS VARCHAR)" for c in EVENT_FEATURES)}) AS step
+          FROM st_scaled c JOIN st_scores s USING (guest_id, day))) s""",
+    "train_optimality": "SELECT i AS coefficient, 1 AS optimal FROM range(-1, 24) t(i)",
     "simulate_scores": "FROM st_simulated",
     "simulate_scores_new": "FROM st_simulated_new",
     "simulate_roc": BODIES["roc_points_sparse"].replace("st_sparse", "st_sim_sparse"),

@@ -230,6 +230,14 @@ class Flow:
     def fp_profiles(self):
         return evaluation.false_positive_profile(self.fp, self.x.profiles, self.x.regional)
 
+    @cached_property
+    def trained(self):
+        names = features.scaled_names(EVENT_FEATURES)
+        rows = self.scaled.join(self.scores.select("guest_id", "day", "label"), ["guest_id", "day"])
+        windows = scale.materialize(features.guest_split(
+            sequences.padded(sequences.trailing_windows(rows, names), len(names))))
+        return windows, scoring.train_classifier(windows.where(F.col("side") == "train"))
+
     @cached_property
     def scaled(self):
         model = features.fit_scaler(self.running, EVENT_FEATURES)
@@ -810,15 +818,23 @@ def score_flag(f):
     return scoring.flag(f.scores, 0.5)
 
 
-@query("guest_id:b day:t label:b score:r side:s")
+@query("guest_id:b day:t days_left:b label:b weight:r side:s steps:s length:b probability:b")
 def train_score(f):
-    """Classifier trained on four fifths of the guests, scores of all of them."""
-    names = features.scaled_names(EVENT_FEATURES)
-    rows = f.scaled.join(f.scores.select("guest_id", "day", "label"), ["guest_id", "day"])
-    windows = scale.materialize(features.guest_split(
-        sequences.padded(sequences.trailing_windows(rows, names), len(names))))
-    model = scoring.train_classifier(windows.where(F.col("side") == "train"))
-    return scoring.classify(model, windows)
+    """Training matrix, and whether the classifier trained on four fifths of the guests gives
+    each row a probability."""
+    windows, model = f.trained
+    scores = scoring.classify(model, windows).select(
+        "guest_id", "day", F.col("score").between(0, 1).cast("int").alias("probability"))
+    weighted = scoring.with_class_weight(windows).join(scores, ["guest_id", "day"])
+    return as_text(weighted, ["guest_id", "day", "days_left", "label", "weight", "side", "probability"], 1_000_000)
+
+
+@query("coefficient:b optimal:b")
+def train_optimality(f):
+    """Whether the gradient of the training loss vanishes at the fitted coefficients."""
+    windows, model = f.trained
+    return scoring.loss_gradient(model, windows.where(F.col("side") == "train")).withColumn(
+        "optimal", (F.abs("gradient") < 1e-5).cast("int"))
 
 
 @query("point:b threshold:d tp:b fp:b tpr:r fpr:r")
