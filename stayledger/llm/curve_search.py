@@ -2,7 +2,7 @@
 
 Directions of vectors are projected, for each curve by a rotation and a shift of its own, to a
 grid of ``DIMENSIONS`` axes and ordered along the grid's Hilbert curve. Each ordering is cut into
-``RANGES`` key ranges of about equal size. A query meets the vectors of its own range and of the
+up to ``RANGES`` key ranges of about equal size. A query meets the vectors of its own range and of the
 ``NEIGHBOURS`` on each side, on every curve; what the curves have found is merged, scored exactly
 and ranked. Equal vectors are searched once. Every vector is placed on every curve.
 
@@ -24,6 +24,7 @@ from stayledger.llm.vectors import best, matrix, usable
 
 TOP = 20
 CURVES, DIMENSIONS, BITS, SEED = 14, 6, 5, 20
+#: Key ranges of a curve at most, and those on each side of a query's own that it looks at.
 RANGES, NEIGHBOURS = 24, 1
 #: Vectors and queries that are compared with each other in one task.
 CHUNK, QUERIES = 8192, 2048
@@ -97,8 +98,9 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = TOP, id: str = "vec
     placed = store(members.where("nth = 1").select("class", "v").mapInArrow(
         place, "class long, v array<double>, " + ", ".join(f"{c} long" for c in names)), "curves")
     n = placed.count()
-    bounds = placed.approxQuantile(names, [r / RANGES for r in range(1, RANGES)], 0.1 / RANGES) if n else []
-    cuts = np.array(bounds or np.zeros((CURVES, RANGES - 1)))
+    cut = max(1, min(RANGES, n // (4 * k + 4)))  # ranges hold a few times as many as are wanted
+    bounds = placed.approxQuantile(names, [r / cut for r in range(1, cut)], 0.1 / cut) if cut > 1 else []
+    cuts = np.array(bounds or np.zeros((CURVES, 0)))
 
     def ranges(*columns: pd.Series) -> pd.Series:
         return pd.Series(list(np.stack([np.searchsorted(cuts[c], x, "right") for c, x in enumerate(columns)], axis=1)))
@@ -107,7 +109,7 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = TOP, id: str = "vec
         F.pandas_udf(ranges, "array<int>")(*names)).alias("curve", "range"))
     queries = dealt.join(asked.select("class").distinct(), "class", "left_semi")
     row_chunks, query_chunks = (max(1, -(-n // size)) for size in (
-        RANGES * CHUNK, RANGES * QUERIES * every // (2 * NEIGHBOURS + 1)))
+        cut * CHUNK, cut * QUERIES * every // (2 * NEIGHBOURS + 1)))
     spread = F.xxhash64("class", F.lit(1))
     grid = dealt.select(
         "curve", "range", F.pmod(spread, F.lit(row_chunks)).cast("int").alias("i"),
