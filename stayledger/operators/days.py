@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayledger.functions.codes import coded_number, day, target_credits
-from stayledger.operators.ledger import of_years
+from stayledger.operators.ledger import of_years, player_days
 from stayledger.operators.trip_models import promotion_chain, without_guests
 
 
@@ -23,9 +23,7 @@ def daily_credits(ledger: DataFrame, xref: DataFrame, year: int) -> DataFrame:
     They are then placed by guest alone: the sum, the windows and the joins that follow
     all work on that placement.
     """
-    per_player = (of_years(ledger, year)
-                  .groupBy("player_id", F.to_date("ts").alias("day"))
-                  .agg(F.sum("credits").alias("credits")))
+    per_player = player_days(of_years(ledger, year)).select("player_id", "day", "credits")
     return days_left(
         per_player.join(xref.select("player_id", "guest_id"), "player_id")
         .repartition("guest_id").groupBy("guest_id", "day").agg(F.sum("credits").alias("credits")), year)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayledger.functions.codes import lob_group, midnight, to_pacific
+from stayledger.functions.codes import day, lob_group, midnight, to_pacific
 from stayledger.operators.scale import running_total
 
 POINTS_PER_CREDIT = Decimal(10000)
@@ -62,25 +62,37 @@ def with_guest(df: DataFrame, xref: DataFrame) -> DataFrame:
 
 
 def of_years(ledger: DataFrame, first: int, last: int | None = None) -> DataFrame:
-    """Ledger rows of whole calendar years, as a range that reaches the scan."""
+    """Rows of a ledger or of player days in whole calendar years, as a range that reaches the
+    scan."""
+    if "day" in ledger.columns:
+        return ledger.where(F.col("day").between(day(first, 1, 1), day(last or first, 12, 31)))
     return ledger.where((F.col("ts") >= midnight(first, 1, 1))
                         & (F.col("ts") < midnight((last or first) + 1, 1, 1)))
 
 
-def player_days(ledger: DataFrame) -> DataFrame:
-    """Credits per player and local day.
+def player_days(ledger: DataFrame, property: str | None = None) -> DataFrame:
+    """Credits per player and local day, with ``property`` also those earned there.
 
-    Interval joins and day features only need this grain. It is combined before any
+    Interval joins, cohorts and day features only need this grain. It is combined before any
     shuffle, and leaves at most one row per player and day, however many items a player
-    has.
+    has. Player days are returned as they are, so operators take them in place of a ledger.
     """
+    if "day" in ledger.columns:
+        return ledger
+
     def of(group: str):
         return F.sum(F.when(F.col("lob_group") == group, F.col("credits")).otherwise(0))
 
+    here = [] if property is None else [credits_at(property).alias("property_credits")]
     return ledger.groupBy("player_id", F.to_date("ts").alias("day")).agg(
         F.sum("credits").alias("credits"),
         of("Gaming").alias("gaming_credits"),
-        of("Non-Gaming").alias("non_gaming_credits"))
+        of("Non-Gaming").alias("non_gaming_credits"), *here)
+
+
+def credits_at(property: str) -> Column:
+    """Credits earned at a property; an unknown site counts as elsewhere."""
+    return F.sum(F.when(F.col("site_name").contains(property), F.col("credits")).otherwise(0))
 
 
 def ledger_running(ledger: DataFrame, xref: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.functions.codes import day
-from stayledger.operators.ledger import with_guest
+from stayledger.operators.ledger import credits_at, with_guest
 
 TRIP_KEYS = ["guest_id", "trip_start", "trip_end"]
 
@@ -24,10 +24,12 @@ def visit_base(visits: DataFrame, *, first_month: date = date(2016, 1, 1),
 
 
 def roll_up_trips(base: DataFrame, *, online_brand: str, until: date,
-                  include_until: bool = False) -> DataFrame:
+                  include_until: bool = False, since: date | None = None) -> DataFrame:
     """One row per guest, start and end day, without visits to the online brand."""
     start = F.col("trip_start")
     cap = start <= F.lit(until) if include_until else start < F.lit(until)
+    if since is not None:
+        cap = cap & (start >= F.lit(since))
     return (base.where(F.col("property") != online_brand).where(cap)
             .groupBy(*TRIP_KEYS)
             .agg(F.count("department").alias("departments"),
@@ -64,11 +66,11 @@ def new_guest_trips(property_trips: DataFrame, year: int) -> DataFrame:
 
 
 def property_credits(ledger: DataFrame, xref: DataFrame, name: str) -> DataFrame:
-    """Credits per player, in all and at one property; an unknown site counts as elsewhere."""
-    here = F.when(F.col("site_name").contains(name), F.col("credits")).otherwise(0)
+    """Credits per player, in all and at one property; player days bring those of theirs."""
+    here = F.sum("property_credits") if "property_credits" in ledger.columns else credits_at(name)
     return with_guest(
         ledger.groupBy("player_id").agg(F.sum("credits").alias("total_credits"),
-                                        F.sum(here).alias("property_credits")), xref)
+                                        here.alias("property_credits")), xref)
 
 
 def dominant_guests(ledger: DataFrame, xref: DataFrame, name: str,

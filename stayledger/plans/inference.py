@@ -19,6 +19,7 @@ from stayledger.sources import tables
 
 def _rolled(src: Tables, cohort: Cohort) -> DataFrame:
     return visits.roll_up_trips(visits.visit_base(src["visit"]), online_brand=cohort.online_brand,
+                                since=date(cohort.year - 1, 1, 1),
                                 until=date(cohort.year, 12, 31), include_until=True)
 
 
@@ -31,6 +32,7 @@ def _lodged(src: Tables, cohort_trips: DataFrame, year: int) -> DataFrame:
 
 def returning_rows(src: Tables, cohort: Cohort) -> DataFrame:
     """Day rows of this year for guests of both years, with last year's history."""
+    src = training.with_player_days(src, cohort)
     rolled = materialize(_rolled(src, cohort), "rolled")
     chosen = materialize(visits.trips_of(
         rolled,
@@ -44,6 +46,7 @@ def returning_rows(src: Tables, cohort: Cohort) -> DataFrame:
 
 def new_guest_rows(src: Tables, cohort: Cohort) -> DataFrame:
     """Day rows of this year for guests without a trip last year."""
+    src = training.with_player_days(src, cohort)
     chosen = materialize(training.new_trips(src, cohort), "chosen")
     return days.lodging_shares(days.inference_features(
         src["ledger"], src["member_xref"], _lodged(src, chosen, cohort.year), cohort.year))

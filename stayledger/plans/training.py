@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from stayledger.operators import days, features, history, sequences, tiers, trips, visits
-from stayledger.operators.ledger import of_years
+from stayledger.operators.ledger import of_years, player_days
 from stayledger.operators.scale import materialize
 from stayledger.schemas import NEW_GUEST_FEATURES, RETURNING_FEATURES
 
@@ -27,9 +27,18 @@ class Cohort:
     min_credits: float = 0
 
 
-def rolled_trips(src: Tables, cohort: Cohort) -> DataFrame:
+def with_player_days(src: Tables, cohort: Cohort) -> Tables:
+    """Tables with the player days of both years, kept, in place of the ledger.
+
+    The one pass over the ledger: cohorts, trips and day rows all read its result.
+    """
+    both = of_years(src["ledger"], cohort.year - 1, cohort.year)
+    return {**src, "ledger": materialize(player_days(both, cohort.property), "player_days")}
+
+
+def rolled_trips(src: Tables, cohort: Cohort, since: date | None = None) -> DataFrame:
     return visits.roll_up_trips(visits.visit_base(src["visit"]), online_brand=cohort.online_brand,
-                                until=date(cohort.year, 12, 31))
+                                until=date(cohort.year, 12, 31), since=since)
 
 
 def returning_trips(src: Tables, cohort: Cohort) -> DataFrame:
@@ -43,7 +52,8 @@ def returning_trips(src: Tables, cohort: Cohort) -> DataFrame:
 
 def new_trips(src: Tables, cohort: Cohort) -> DataFrame:
     """Trips at the property by guests who did not come the year before."""
-    at = visits.at_property(materialize(rolled_trips(src, cohort), "rolled"), cohort.property)
+    both_years = rolled_trips(src, cohort, since=date(cohort.year - 1, 1, 1))
+    at = visits.at_property(materialize(both_years, "rolled"), cohort.property)
     earning = visits.guests_with_credits(of_years(src["ledger"], cohort.year),
                                          src["member_xref"], cohort.property, cohort.min_credits)
     return visits.trips_of(visits.new_guest_trips(at, cohort.year), earning)
@@ -58,12 +68,12 @@ def described_trips(src: Tables, cohort_trips: DataFrame, year: int) -> DataFram
 def prior_year(src: Tables, cohort_trips: DataFrame, year: int,
                share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(combined history, guests with special promotions only) of the year before."""
-    described = materialize(described_trips(src, cohort_trips, year - 1), "prior_trips")
+    described = described_trips(src, cohort_trips, year - 1)
     periods = materialize(history.customer_history(
         described, tiers.promotions(src["tier_history"], year - 1), year - 1), "prior_periods")
     combined, special = history.guest_history(
         periods, src["reason_enum"], src["member_xref"], src["activity"], year - 1, share)
-    return materialize(combined, "history"), materialize(special, "history_special")
+    return materialize(combined, "history"), special
 
 
 def model_year(src: Tables, cohort_trips: DataFrame, year: int):
@@ -78,7 +88,7 @@ def model_year(src: Tables, cohort_trips: DataFrame, year: int):
     natural, special = history.year_promotions(
         history.trip_rollup_by_promotion(with_next), src["reason_enum"], src["member_xref"],
         src["activity"], year)
-    return with_next, natural, materialize(special, "special")
+    return with_next, natural, special
 
 
 def returning_rows(src: Tables, cohort_trips: DataFrame, year: int,

@@ -81,3 +81,21 @@ def test_false_positives_need_one_high_score_and_no_promotion(spark):
         "score", F.when((F.col("guest_id") < 3) & (F.col("days_left") == 365), 0.9).otherwise(0.1))
     got = evaluation.false_positive_rows(rows, scores)
     assert sorted((r.guest_id, r.days_left) for r in got.collect()) == [(1, 363), (1, 364), (1, 365)]
+
+
+def test_player_days_stand_in_for_the_ledger(spark):
+    from stayledger.operators import visits
+    from stayledger.operators.days import daily_credits
+    from stayledger.operators.ledger import of_years, player_days
+    from tests.helpers import bag, ledger, xref
+
+    raw = ledger(spark, ("p", "2023-12-31 23:59:59", "5", "Here", "Gaming"), ("p", "2024-01-01 00:00:00", "7", "There", "Gaming"),
+                 ("p", "2024-12-31 12:00:00", "2", "Here", "Other"), ("q", "2024-05-01 10:00:00", "3", None, "Non-Gaming"))
+    bridge = xref(spark, ("p", 1), ("q", 2), ("q", 3))
+    kept = player_days(of_years(raw, 2023, 2024), "Here")
+    assert player_days(kept) is kept
+    for year in (2023, 2024):
+        assert bag(daily_credits(of_years(raw, year), bridge, year), "guest_id", "day", "credits") == bag(
+            daily_credits(kept, bridge, year), "guest_id", "day", "credits")
+        assert bag(visits.property_credits(of_years(raw, year), bridge, "Here"), "guest_id", "total_credits", "property_credits") == bag(
+            visits.property_credits(of_years(kept, year), bridge, "Here"), "guest_id", "total_credits", "property_credits")

@@ -659,6 +659,7 @@ BODIES: dict[str, str] = {
         tier_after FROM st_ranked JOIN fx_xref USING (player_id)
       WHERE year(changed_at) = 2024 AND guest_id IN (SELECT guest_id FROM st_new_cohort)""",
     "latest_snapshot": """SELECT *, CAST(ts AS DATE) AS snapshot FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",
+    "newest_folder": "FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20'",
     "table_roundtrip": "FROM st_rolled",
     "trip_credits": "FROM st_credits_2023",
     "trip_demo_join": "FROM st_demo_2023",

@@ -62,6 +62,11 @@ class Flow:
     def rolled(self):
         return visits.roll_up_trips(self.base, online_brand=ONLINE, until=date(YEAR, 12, 31))
 
+    @cached_property
+    def days(self):
+        """The stand-in tables with player days in place of the ledger."""
+        return training.with_player_days(self.x.tables, COHORT)
+
     @cached_property
     def kept_rolled(self):
         return scale.materialize(self.rolled, "rolled")
@@ -73,10 +78,10 @@ class Flow:
     @cached_property
     def kept_hist_trips(self):
         return scale.materialize(
-            training.described_trips(self.x.tables, self.kept_rolled, HIST), "trips")
+            training.described_trips(self.days, self.kept_rolled, HIST), "trips")
 
     def described(self, year):
-        return training.described_trips(self.x.tables, self.rolled, year)
+        return training.described_trips(self.days, self.rolled, year)
 
     def promotions(self, year):
         return tiers.promotions(self.x.tier_history, year)
@@ -102,7 +107,7 @@ class Flow:
 
     @cached_property
     def next_promotions(self):
-        described = training.described_trips(self.x.tables, self.kept_rolled, YEAR)
+        described = training.described_trips(self.days, self.kept_rolled, YEAR)
         return scale.materialize(trips.with_next_promotion(
             described, self.promotions(YEAR), YEAR), "next")
 
@@ -136,24 +141,24 @@ class Flow:
     def day_rows(self):
         natural, special = self.model
         combined, hist_special = self.hist
-        return days.day_features(self.x.ledger, self.x.xref, self.next_promotions, natural,
+        return days.day_features(self.days["ledger"], self.x.xref, self.next_promotions, natural,
                                  special, YEAR, combined, hist_special)
 
     @cached_property
     def new_rows(self):
         natural, special = self.model
         return days.day_features(
-            self.x.ledger, self.x.xref, self.next_promotions, natural, special, YEAR)
+            self.days["ledger"], self.x.xref, self.next_promotions, natural, special, YEAR)
 
     @cached_property
     def returning_model_rows(self):
         return scale.materialize(
-            training.returning_rows(self.x.tables, self.kept_rolled, YEAR), "returning")
+            training.returning_rows(self.days, self.kept_rolled, YEAR), "returning")
 
     @cached_property
     def new_model_rows(self):
         return scale.materialize(
-            training.new_guest_rows(self.x.tables, self.kept_rolled, YEAR), "new")
+            training.new_guest_rows(self.days, self.kept_rolled, YEAR), "new")
 
     def scaler_of(self, rows, names):
         path = scale.work_path(self.spark, "scaler")
@@ -399,12 +404,12 @@ def any_property_players(f):
 
 @query(_TRIP)
 def cohort_trips(f):
-    return training.returning_trips(f.x.tables, COHORT)
+    return training.returning_trips(f.days, COHORT)
 
 
 @query(_TRIP)
 def new_cohort_trips(f):
-    return training.new_trips(f.x.tables, COHORT)
+    return training.new_trips(f.days, COHORT)
 
 
 @query(_TRIP)
@@ -423,6 +428,16 @@ def cohort_tier_changes(f):
                                    training.new_trips(f.x.tables, COHORT), YEAR)
 
 
+@query("event_id:b user_id:b event_type:s ts:c value:d props:s")
+def newest_folder(f):
+    """Two dated folders, of which the newest alone is read."""
+    root, day = scale.work_path(f.spark, "snapshots"), F.to_date("ts")
+    events = f.x.t("events")
+    for name in ("2024-01-10", "2024-01-20"):
+        tables.write(events.where(day <= name), f"{root}/{name}")
+    return tables.read(f.spark, tables.newest_snapshot(f.spark, root))
+
+
 @query("event_id:b snapshot:t user_id:b event_type:s"
        " ts:c value:d props:s")
 def latest_snapshot(f):
