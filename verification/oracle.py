@@ -849,6 +849,11 @@ CTES |= {
     "st_model_new_scaled": scaled_rows("st_model_new", NEW_GUEST_FEATURES),
     "st_simulated": simulated("st_model_scaled", RETURNING_FEATURES),
     "st_simulated_new": simulated("st_model_new_scaled", NEW_GUEST_FEATURES),
+    "st_fp_model": f"""SELECT r.*, s.score, s.length, s.guest_scores
+      FROM (SELECT * FROM st_model_new WHERE {NO_PROMOTION_DAY}) r
+      JOIN st_simulated_new s ON r.guest_id = s.guest_id AND r.days_left = s.days_left
+      WHERE r.guest_id NOT IN (SELECT guest_id FROM st_model_new WHERE label = 1 AND {NO_PROMOTION_DAY})
+        AND r.guest_id IN (SELECT guest_id FROM st_simulated_new WHERE score > 0.4)""",
     "st_sim_curve": CTES["st_curve"].replace("st_scores", "st_simulated_new"),
     "st_sim_sparse": CTES["st_sparse"].replace("st_curve", "st_sim_curve"),
 }
@@ -870,6 +875,8 @@ BODIES |= {
             f"CAST(CAST(round({c}_scaled * 1000000) AS BIGINT) AS VARCHAR)" for c in EVENT_FEATURES)}) AS step
           FROM st_scaled c JOIN st_scores s USING (guest_id, day))) s""",
     "train_optimality": "SELECT i AS coefficient, 1 AS optimal FROM range(-1, 24) t(i)",
+    "fp_model_rows": "FROM st_fp_model",
+    "fp_model_by_lodging": "SELECT lodging_code, count(*) AS rows FROM st_fp_model GROUP BY lodging_code",
     "simulate_scores": "FROM st_simulated",
     "simulate_scores_new": "FROM st_simulated_new",
     "simulate_roc": BODIES["roc_points_sparse"].replace("st_sparse", "st_sim_sparse"),

@@ -50,9 +50,9 @@ def query(spec: str):
 class Flow:
     """Intermediate frames of the stand-in tables; all lazy."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: StandIns | None = None):
         self.spark = scale.tune(spark)
-        self.x = StandIns(spark, sf_dir)
+        self.x = tables or StandIns(spark, sf_dir)
 
     @cached_property
     def base(self):
@@ -982,7 +982,21 @@ def simulate_thresholds(f):
     return back_test.report(f.simulated_new, [0.3, 0.35, 0.4])["thresholds"]
 
 
-def runnable() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+@query("guest_id:b day:t days_left:b label:b trip_length:b trip_day:b lodging_code:b target_credits:b "
+       "credits:d running_credits:d lodger_share:r local_share:r score:r length:b guest_scores:b")
+def fp_model_rows(f):
+    """Day rows of never-promoted guests whom the back-test has flagged, with their profile."""
+    return evaluation.false_positive_rows(
+        days.without_promotion_day(f.new_model_rows), f.simulated_new, 0.4)
+
+
+@query("lodging_code:b rows:b")
+def fp_model_by_lodging(f):
+    return evaluation.count_by(fp_model_rows(f), "lodging_code")
+
+
+def runnable(tables: StandIns | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All queries, over the stand-ins of a folder or over ``tables``."""
     def bind(name):
-        return lambda spark, sf_dir: shape(BODIES[name](Flow(spark, sf_dir)), SPECS[name])
+        return lambda spark, sf_dir: shape(BODIES[name](Flow(spark, sf_dir, tables)), SPECS[name])
     return {name: bind(name) for name in BODIES}

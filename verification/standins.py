@@ -13,7 +13,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayledger.functions.codes import DROP_IN, IN_HOUSE, LOCAL, TIERS, coded_number
+from stayledger.functions.codes import DROP_IN, IN_HOUSE, LOCAL, TIERS
+from stayledger.operators.scale import materialize
 
 SHIFT_DAYS = 9496
 ONLINE = "EUROPE"
@@ -338,5 +339,14 @@ class StandIns:
                 "reason_enum": self.enum, "activity": self.activity}
 
 
-def trip_tier_rows(demo_trips: DataFrame) -> DataFrame:
-    return demo_trips.withColumn("trip_tier", coded_number("tier"))
+#: Tables that ``staged`` writes.
+STAGED = ("activity", "items", "policies", "locations", "id_map", "members", "member_tiers", "member_tier_history",
+          "merged", "enum", "xref", "tier_history", "ledger", "visits", "trip_demo", "profiles", "regional",
+          "linked", "event_ledger", "event_xref", "day_trips", "day_promotions")
+
+
+def staged(x: StandIns) -> StandIns:
+    """The same tables written as Parquet and read back, as a warehouse would hold them."""
+    for name in STAGED:
+        x.__dict__[name] = materialize(getattr(x, name), name)
+    return x
