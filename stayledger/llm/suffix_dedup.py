@@ -22,10 +22,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayledger.llm.common import pieces, store
 
@@ -161,8 +161,8 @@ def _contexts(open_: DataFrame, keyed: DataFrame) -> DataFrame:
                             pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
                         ["key", "p", "near", "far", "bucket", "bytes"])
 
-    return keyed.join(places, "key").mapInArrow(
-        run, "key long, p long, near int, far int, bucket long, bytes binary").withColumns(
+    return store(keyed.join(places, "key").mapInArrow(
+        run, "key long, p long, near int, far int, bucket long, bytes binary"), "contexts").withColumns(
             {"low": F.lit(0), "high": F.lit(SPAN - 1)})
 
 
@@ -230,7 +230,12 @@ def merged(starts, stops) -> list[tuple[int, int]]:
     return [tuple(x) for x in runs]
 
 
-_CUT = "n_removed long, n_spans long, spans array<struct<start:long,stop:long>>, kept binary, kept_text string"
+_ADDED = T.StructType([
+    T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
+    T.StructField("n_spans", T.LongType()),
+    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
+                                                     T.StructField("stop", T.LongType())]))),
+    T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType())])
 
 
 def _whole(data: bytes, a: int, z: int) -> tuple[int, int]:
@@ -247,15 +252,6 @@ def _without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:z] for a, z in zip(at[::2], at[1::2]))
 
 
-def _cut(text: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.DataFrame:
-    out = []
-    for data, a, z in zip(text, starts, stops):
-        runs = merged(a, z) if a is not None else []
-        out.append((sum(z - a for a, z in runs), len(runs), [{"start": a, "stop": z} for a, z in runs],
-                    _without(data, runs), _without(data, [_whole(data, *x) for x in runs]).decode()))
-    return pd.DataFrame(out, columns=["n_removed", "n_spans", "spans", "kept", "kept_text"])
-
-
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the columns ``n_bytes, n_removed, n_spans, spans, kept, kept_text`` (in
     place of any of those names): every byte covered by a string of 200 bytes that also starts
@@ -271,8 +267,22 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     long = keyed.where(F.length("text") >= LENGTH)
     parts = repeated(long).select(F.col("key").alias("_key"), F.col("starts").alias("_starts"),
                                   F.col("stops").alias("_stops"))
-    joined = docs.withColumn("_key", F.xxhash64(F.col(id).cast("string"), data)).join(parts, "_key", "left")
-    cut = joined.withColumn("_cut", F.pandas_udf(_cut, _CUT)(data, "_starts", "_stops"))
-    return cut.withColumns({"n_bytes": F.length(data).cast("long"), **{
-        c: F.col(f"_cut.{c}") for c in ("n_removed", "n_spans", "spans", "kept", "kept_text")}}).drop(
-            "_key", "_starts", "_stops", "_cut")
+    joined = docs.drop(*_ADDED.names).withColumn(
+        "_key", F.xxhash64(F.col(id).cast("string"), data)).join(parts, "_key", "left").withColumn("_data", data)
+    names = [c for c in docs.columns if c not in _ADDED.names]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in pieces(whole, 200):
+                out = []
+                for text, a, z in zip(*(batch[c].to_pylist() for c in ("_data", "_starts", "_stops"))):
+                    runs = merged(a, z) if a else []
+                    out.append((len(text), sum(z - a for a, z in runs), len(runs),
+                                [{"start": a, "stop": z} for a, z in runs], _without(text, runs),
+                                _without(text, [_whole(text, *x) for x in runs]).decode()))
+                kinds = (*[pa.int64()] * 3, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])),
+                         pa.binary(), pa.string())
+                added = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+                yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), *added], [*names, *_ADDED.names])
+
+    return joined.mapInArrow(cut, T.StructType([*(docs.schema[c] for c in names), *_ADDED]))
