@@ -91,7 +91,8 @@ def next_target(credits: Column | str) -> Column:
 
 
 def promo_trip_bucket(trips: Column | str) -> Column:
-    """Class of the number of trips a guest needed; one or two trips fall in the last class."""
+    """Class of the number of trips a guest needed; one or two trips fall in the last class.
+    The bounds are fixed values."""
     trips = col_of(trips)
     return (F.when(trips.isNull(), 0)
             .when(trips.between(3, 5), 1)

@@ -16,6 +16,7 @@ from stayledger.operators.scale import materialize
 
 BUCKETS = 1000
 
+#: Inputs of the trip models.
 ENCODED_FEATURES = (
     "days_left", "credits", "gaming_credits", "non_gaming_credits", "gender_index", "age",
     "location_vector", "local_share", "lodger_share", "target_credits", "top_tier",

@@ -25,8 +25,8 @@ def loyalty_ids(id_map: DataFrame, id_kind: str = "PlayerId") -> DataFrame:
 def build_ledger(activity: DataFrame, items: DataFrame, locations: DataFrame, id_map: DataFrame,
                  policies: DataFrame, year: int, *, system_user_prefix: str,
                  policy_prefix: str = "Tier Credits", id_kind: str = "PlayerId",
-                 whole_last_day: bool = False) -> DataFrame:
-    """Live credit items of one local calendar year.
+                 whole_last_day: bool = False, rules: str = "table") -> DataFrame:
+    """Live credit items of one local calendar year, on the clock of ``rules``.
 
     The year ends with the first instant of December 31 unless ``whole_last_day`` is set.
     """
@@ -39,7 +39,7 @@ def build_ledger(activity: DataFrame, items: DataFrame, locations: DataFrame, id
     acts = (live(activity)
             .where(F.col("activity_status") != "Error")
             .where(F.col("activity_at").between(raw_from, raw_to))
-            .withColumn("ts", to_pacific("activity_at"))
+            .withColumn("ts", to_pacific("activity_at", rules))
             .where(F.col("ts") >= midnight(year, 1, 1)).where(last)
             .select("activity_id", "member_id", "location_id", "ts",
                     lob_group("lob", "user_id", system_user_prefix).alias("lob_group")))

@@ -9,11 +9,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Milestones of the blocks that are open.
+_written: list[list[tuple[SparkSession, str]]] = []
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Let AQE split skewed join partitions even where that costs one more exchange."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -46,9 +52,24 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
+    for block in _written:
+        block.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def milestones() -> Iterator[None]:
+    """Delete what ``materialize`` writes inside the block when the block ends; frames that are
+    built on it must be used or written before."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _written.pop():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def running_total(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:
     """Running sum per key up to and including rows of the same instant.
 

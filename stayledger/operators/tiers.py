@@ -65,8 +65,8 @@ def with_survivor(changes: DataFrame, merged: DataFrame) -> DataFrame:
 
 
 def build_tier_history(members: DataFrame, tiers: DataFrame, history: DataFrame,
-                       id_map: DataFrame, merged: DataFrame) -> DataFrame:
-    """All distinct tier changes on the local wall clock, with the surviving player id."""
+                       id_map: DataFrame, merged: DataFrame, rules: str = "table") -> DataFrame:
+    """All distinct tier changes on the clock of ``rules``, with the surviving player id."""
     changes = (members_without_history(members, tiers, history, id_map)
                .unionByName(members_with_history(members, tiers, history, id_map))
                .distinct())
@@ -74,9 +74,9 @@ def build_tier_history(members: DataFrame, tiers: DataFrame, history: DataFrame,
         F.col("member_id").alias("survivor_id"),
         F.col("player_id").cast("long").alias("survivor_player_id"))
     return (with_survivor(changes, merged).join(survivors, "survivor_id")
-            .select("player_id", to_pacific("enrolled_at").alias("enrolled_at"),
-                    "tier_from", "tier_to", to_pacific("changed_at").alias("changed_at"),
-                    "current_tier", to_pacific("current_tier_at").alias("current_tier_at"),
+            .select("player_id", to_pacific("enrolled_at", rules).alias("enrolled_at"),
+                    "tier_from", "tier_to", to_pacific("changed_at", rules).alias("changed_at"),
+                    "current_tier", to_pacific("current_tier_at", rules).alias("current_tier_at"),
                     "survivor_player_id", "tier_reason", "tier_sub_reason", "change_reason",
                     "change_sub_reason"))
 
@@ -86,11 +86,14 @@ def ranked_changes(tier_history: DataFrame) -> DataFrame:
         "tier_before": tier_ordinal("tier_from"), "tier_after": tier_ordinal("tier_to")})
 
 
-def promotions(tier_history: DataFrame, year: int) -> DataFrame:
-    """Upward changes of a year into one of the named tiers, up to the start of December 31."""
+def promotions(tier_history: DataFrame, year: int, whole_last_day: bool = False) -> DataFrame:
+    """Upward changes of a year into one of the named tiers, up to the start of December 31
+    or with ``whole_last_day`` to its end."""
+    last = (F.col("changed_at") < midnight(year + 1, 1, 1) if whole_last_day
+            else F.col("changed_at") <= midnight(year, 12, 31))
     return (ranked_changes(tier_history)
             .where((F.col("tier_before") < F.col("tier_after")) & (F.col("tier_after") != 5))
-            .where(F.col("changed_at").between(midnight(year, 1, 1), midnight(year, 12, 31)))
+            .where(F.col("changed_at") >= midnight(year, 1, 1)).where(last)
             .select("player_id", "tier_before", "tier_after", "changed_at", "tier_reason",
                     "tier_sub_reason", "change_reason", "change_sub_reason"))
 

@@ -9,25 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from stayledger.operators.ledger import build_ledger
 from stayledger.operators.scale import tune
 from stayledger.operators.tiers import build_tier_history
+from stayledger.schemas import SOURCES, conform
 from stayledger.sources import tables
 
 
 def refresh(spark: SparkSession, src: Mapping[str, DataFrame], out: str, year: int, *,
-            system_user_prefix: str) -> None:
+            system_user_prefix: str, whole_last_day: bool = False, rules: str = "table") -> None:
     """Write both tables and log how fresh they are.
 
-    The log reads the files just written; nothing is computed twice.
+    Sources are brought to their contracts first. The log reads the files just written;
+    nothing is computed twice.
     """
     tune(spark)
+    src = {name: conform(df, SOURCES[name]) for name, df in src.items()}
     ledger = build_ledger(src["activity"], src["accrual_item"], src["location"],
                           src["member_id_map"], src["purse_policy"], year,
-                          system_user_prefix=system_user_prefix)
+                          system_user_prefix=system_user_prefix, whole_last_day=whole_last_day,
+                          rules=rules)
     tables.write(ledger, f"{out}/ledger/calendar_year={year}")
     written = spark.read.parquet(f"{out}/ledger/calendar_year={year}")
     tables.log_run(tables.freshness(written, "ledger", "ts"), f"{out}/run_log")
 
     history = build_tier_history(src["member"], src["member_tier"], src["member_tier_history"],
-                                 src["member_id_map"], src["merged_member"])
+                                 src["member_id_map"], src["merged_member"], rules)
     tables.write(history, f"{out}/tier_history")
     written = spark.read.parquet(f"{out}/tier_history")
     tables.log_run(tables.freshness(written, "tier_history", "changed_at"), f"{out}/run_log")

@@ -44,13 +44,19 @@ CUSTOMER_PROFILE = _table(guest_id=_L, game_type=_S, enrolled_on=_D)
 REGIONAL_PROFILE = _table(guest_id=_L, worth_18m=_X)
 LINKED_ACCOUNT = _table(player_id=_S, account_id=_S, credits_earned=_CREDITS)
 
-#: Model inputs of a returning guest, one row per active day.
+#: Contracts of the tables that the nightly refresh reads.
+SOURCES = {
+    "activity": ACTIVITY, "accrual_item": ACCRUAL_ITEM, "location": LOCATION, "member_id_map": MEMBER_ID_MAP,
+    "purse_policy": PURSE_POLICY, "member": MEMBER, "member_tier": MEMBER_TIER,
+    "member_tier_history": MEMBER_TIER_HISTORY, "merged_member": MERGED_MEMBER}
+
+#: Model inputs of a returning guest, one row per active day.
 RETURNING_FEATURES = (
     "credits", "days_left", "day_no", "running_credits", "trip_length", "trip_day",
     "lodging_code", "top_tier", "gaming_share", "non_gaming_share", "hist_credits",
     "hist_trips", "hist_trip_days", "hist_first_trip_age", "lodger_share", "local_share",
     "target_credits")
-#: Model inputs of a guest without a prior year.
+#: Model inputs of a guest without a prior year.
 NEW_GUEST_FEATURES = (
     "credits", "days_left", "day_no", "running_credits", "trip_length", "trip_day",
     "lodging_code", "lodger_share", "local_share", "target_credits")

@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import timedelta
 from decimal import Decimal
@@ -116,3 +117,11 @@ def test_conform(spark):
     assert got.schema == schemas.MEMBER_XREF and tuple(got.first()) == ("2", 1)
     with pytest.raises(ValueError, match="guest_id"):
         schemas.conform(df.drop("Guest_ID"), schemas.MEMBER_XREF)
+
+
+def test_milestones_go_with_their_block(spark):
+    with scale.milestones():
+        kept = scale.materialize(spark.range(3), "short")
+        files = kept.inputFiles()
+        assert kept.count() == 3 and os.path.exists(files[0].removeprefix("file://"))
+    assert not os.path.exists(files[0].removeprefix("file://"))
