@@ -557,8 +557,8 @@ CTES: dict[str, str] = {
       FROM (SELECT score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg
             FROM st_scores GROUP BY score)""",
     "st_sparse": """SELECT row_number() OVER (ORDER BY threshold DESC) AS point, threshold, tp, fp,
-        CAST(tp AS DOUBLE) / CAST(positives AS DOUBLE) AS tpr,
-        CAST(fp AS DOUBLE) / CAST(negatives AS DOUBLE) AS fpr
+        CAST(tp AS DOUBLE) / CAST(nullif(positives, 0) AS DOUBLE) AS tpr,
+        CAST(fp AS DOUBLE) / CAST(nullif(negatives, 0) AS DOUBLE) AS fpr
       FROM st_curve WHERE (tp = pos AND fp = neg) OR next_pos IS NULL
         OR next_pos <> pos OR next_neg <> neg""",
 }
@@ -578,9 +578,9 @@ def _index(column):
 def _metrics(t):
     return f"""SELECT {t}::DOUBLE AS threshold,
         CAST(count(*) FILTER (score > {t} AND label = 1) AS DOUBLE)
-          / count(*) FILTER (label = 1) AS tpr,
+          / nullif(count(*) FILTER (label = 1), 0) AS tpr,
         CAST(count(*) FILTER (score > {t} AND label = 0) AS DOUBLE)
-          / count(*) FILTER (label = 0) AS fpr,
+          / nullif(count(*) FILTER (label = 0), 0) AS fpr,
         count(*) FILTER (score > {t}) / 364.0::DOUBLE AS alerts_per_day FROM st_scores"""
 
 
@@ -751,8 +751,8 @@ BODIES: dict[str, str] = {
         1.0::DOUBLE / (1.0::DOUBLE + exp(-({_MEANS} + {BIAS}::DOUBLE))) AS score
       FROM st_scaled WINDOW last6 AS ({_LAST6})""",
     "score_flag": "SELECT *, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS flag FROM st_scores",
-    "roc_points": """SELECT *, CAST(tp AS DOUBLE) / CAST(positives AS DOUBLE) AS tpr,
-        CAST(fp AS DOUBLE) / CAST(negatives AS DOUBLE) AS fpr
+    "roc_points": """SELECT *, CAST(tp AS DOUBLE) / CAST(nullif(positives, 0) AS DOUBLE) AS tpr,
+        CAST(fp AS DOUBLE) / CAST(nullif(negatives, 0) AS DOUBLE) AS fpr
       FROM (SELECT point, threshold, tp, fp, positives, negatives FROM st_curve
             UNION ALL SELECT 0, 'infinity'::DOUBLE, 0, 0, 1, 1)""",
     "roc_points_sparse": """SELECT * FROM st_sparse
@@ -760,7 +760,7 @@ BODIES: dict[str, str] = {
     "roc_first_below_half": """FROM st_sparse WHERE point = (
         SELECT min(point) FROM st_sparse WHERE threshold < 0.5)""",
     "auc": """SELECT max(p) AS positives, max(n) AS negatives,
-        CAST(sum(won) AS DOUBLE) / (2.0::DOUBLE * max(p) * max(n)) AS auc
+        CAST(sum(won) AS DOUBLE) / nullif(2.0::DOUBLE * max(p) * max(n), 0) AS auc
       FROM (SELECT sum(a.pos * CASE WHEN a.threshold > b.threshold THEN 2 * b.neg
               WHEN a.threshold = b.threshold THEN b.neg ELSE 0 END) AS won,
             max(a.positives) AS p, max(a.negatives) AS n FROM st_curve a, st_curve b)""",
