@@ -33,15 +33,21 @@ PART_DOCS = 8192
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and codes of one document's ranks."""
-    size = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    twos = np.zeros(-len(ranks) % 4 + len(ranks), np.uint8)
-    twos[:len(ranks)] = size - 1
+def pack_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control bytes and codes of documents with ``counts`` ranks each."""
+    size = np.ones(len(ranks), np.uint8)
+    for most in (0xFF, 0xFFFF, 0xFFFFFF):
+        size += ranks > most
+    full = (counts + 3) // 4 * 4
+    before = np.cumsum(full - counts) - (full - counts)
+    twos = np.zeros(int(full.sum()), np.uint8)
+    twos[np.arange(len(ranks)) + np.repeat(before, counts)] = size - 1
     twos = twos.reshape(-1, 4)
-    control = twos[:, 0] | twos[:, 1] << 2 | twos[:, 2] << 4 | twos[:, 3] << 6
-    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), data[np.arange(4) < size[:, None]].tobytes()
+    control = (twos[:, 0] | twos[:, 1] << 2 | twos[:, 2] << 4 | twos[:, 3] << 6).tobytes()
+    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]].tobytes()
+    heads = [0, *(np.cumsum(full) // 4).tolist()]
+    ends = [0, *np.concatenate(([0], np.cumsum(size, dtype=np.int64)))[np.cumsum(counts)].tolist()]
+    return ([control[a:z] for a, z in zip(heads, heads[1:])], [data[a:z] for a, z in zip(ends, ends[1:])])
 
 
 def unpack_ranks(counts: np.ndarray, control: bytes, data: bytes) -> np.ndarray:
@@ -123,14 +129,15 @@ def write(docs: DataFrame, path: str, end: int = END, tokenizer: str = "byte_bpe
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole):
-                rows = [pack_ranks(table.value[np.frombuffer(x, "<u2")]) for x in batch["ids"].to_pylist()]
+                coded = batch["ids"].to_pylist()
+                counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 2
+                control, data = pack_ranks(table.value[np.frombuffer(b"".join(coded), "<u2")], counts)
                 docs_ = batch["doc_id"].to_numpy(zero_copy_only=False)
                 yield pa.record_batch({
                     "part": pa.array(np.searchsorted(cuts, docs_, "right").astype(np.int32)),
                     "doc_id": batch["doc_id"],
-                    "n": pa.array([len(x) // 2 for x in batch["ids"].to_pylist()], pa.int64()),
-                    "control": pa.array([a for a, _ in rows], pa.binary()),
-                    "data": pa.array([b for _, b in rows], pa.binary())})
+                    "n": pa.array(counts), "control": pa.array(control, pa.binary()),
+                    "data": pa.array(data, pa.binary())})
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, before, held, size = None, 0, 0, [], 0

@@ -25,8 +25,9 @@ _SPLIT = {
         f"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"),
     "word_bpe_49k.json": re.compile(f"'(?:[stmd]|re|ve|ll)|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+"),
 }
-#: Words kept by a task; at this number it starts anew.
-KEPT = 600_000
+#: Words kept by a task; at this number they become the older ones, of which those that are
+#: met again stay.
+KEPT = 300_000
 
 
 class Encoder:
@@ -42,16 +43,35 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.size = self.library.get_vocab_size()
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u2").tobytes() for x in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words. Words that begin with a space and a letter stand one after the
+        other in one text, which the library cuts into the same words."""
+        if self.lower:
+            return self._whole(words)
+        joined = [i for i, w in enumerate(words) if w[0] == " " and w[1:2].isalpha()]
+        alone = sorted(set(range(len(words))).difference(joined))
+        out: list = [None] * len(words)
+        for i, ids in zip(alone, self._whole([words[i] for i in alone])):
+            out[i] = ids
+        found = self.library.encode("".join([words[i] for i in joined]), add_special_tokens=False)
+        ids, at = np.array(found.ids, "<u2").tobytes(), 0
+        ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(joined)), "right") * 2
+        for i, end in zip(joined, ends.tolist()):
+            out[i] = ids[at:end]
+            at = end
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
         whole, split, new = [], [], set()
         if len(self.words) > KEPT:
-            self.words.clear()
+            self.words, self.older = {}, self.words
         for i, text in enumerate(texts):
             if _OTHER.search(text) or any(x in text for x in self.special):
                 whole.append(i)
@@ -59,8 +79,10 @@ class Encoder:
                 words = self.find(text.lower() if self.lower else text)
                 split.append((i, words))
                 new.update(words)
-        if new := list(new.difference(self.words)):
-            self.words.update(zip(new, self._whole(new)))
+        new = new.difference(self.words)
+        self.words.update({w: self.older[w] for w in new.intersection(self.older)})
+        if new := list(new.difference(self.older)):
+            self.words.update(zip(new, self._words(new)))
         get = self.words.__getitem__
         for i, words in split:
             out[i] = b"".join(map(get, words))
