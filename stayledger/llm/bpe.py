@@ -22,7 +22,7 @@ from stayledger.llm.common import pieces, texts, tokenizer_path
 from stayledger.llm.tokens import _OTHER, _SPLIT
 
 #: Words and pairs kept by a task; at this number it starts anew.
-KEPT = 600_000
+KEPT = 400_000
 
 
 def byte_letters() -> dict[str, int]:

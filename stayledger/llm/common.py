@@ -39,11 +39,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def texts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id`` as long and ``text`` as UTF-8 bytes (null: empty), without the other columns.
     Rows without an id are left out: no result could name them."""
+    small_batches(docs.sparkSession)
     return docs.where(F.col(id).isNotNull()).select(
         F.col(id).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound the rows that cross to Python at once: texts can be long, and both sides hold a
+    batch in memory. A smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def pieces(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch, so that what Python holds of long texts stays small."""
     for at in range(0, batch.num_rows, rows):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayledger.llm.common import pieces, store
+from stayledger.llm.common import pieces, small_batches, store
 
 LENGTH, GRAM = 200, 64
 #: Number of offsets that a start can have before its anchor.
@@ -262,6 +262,7 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     that share an id or repeat each other are texts of their own; a null id is an id like any
     other; other columns stay as they are; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     data = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     keyed = docs.select(F.xxhash64(F.col(id).cast("string"), data).alias("key"), data.alias("text"))
     long = keyed.where(F.length("text") >= LENGTH)

@@ -13,13 +13,12 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import PandasUDFType
+from pyspark.sql import types as T
 
-from stayledger.llm.common import pieces, texts
+from stayledger.llm.common import pieces, small_batches, texts
 
 #: Labelled texts that the model is learnt from at most, and passes over them.
 SAMPLE, PASSES = 12_000, 2
@@ -31,7 +30,7 @@ THRESHOLD = 0.3
 #: Lengths of word beginnings.
 BEGINNINGS = (4, 5, 6)
 #: Distinct words kept by a task.
-KEPT = 400_000
+KEPT = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -129,20 +128,22 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     return np.array(order, np.int64), np.array([found[k] for k in order]), bias
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text") -> DataFrame:
-    """``docs`` with a column ``score``: the probability of each whole text under the model."""
+def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text",
+           out: str = "score") -> DataFrame:
+    """``docs`` with a column ``out``: the probability of each whole text under the model."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, values, bias = shared.value
         w, features = np.zeros(1 << HASH_BITS), Features()
         w[at] = values
         for batch in batches:
-            total = [w[features.of(x)].sum() + bias for x in batch]
-            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(total, float), -35, 35))))
+            total = [w[features.of(x or "")].sum() + bias for x in batch[text].to_pylist()]
+            score = 1 / (1 + np.exp(-np.clip(np.array(total, float), -35, 35)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, out])
 
-    kind = F.pandas_udf(run, "double", PandasUDFType.SCALAR_ITER)
-    return docs.withColumn("score", kind(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(out, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -153,7 +154,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     them, play no part; without labels the score is one half; no rows give no rows.
     """
     plain = docs.where(F.col(id).isNotNull()).select(
-        F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return scored(plain, learn(docs, labels, id, text)).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -161,6 +162,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
 def without_toxic(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score stays under the threshold, with all their columns."""
     names = docs.columns
-    return scored(docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names))),
-                  learn(docs, labels, id, text), f"c{names.index(text)}").where(
+    plain = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)))
+    return scored(plain, learn(docs, labels, id, text), f"c{names.index(text)}").where(
         F.col("score") < THRESHOLD).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(names)))
