@@ -1,12 +1,16 @@
-"""Main text of web pages: page structure, and repeats within a host where structure is silent.
+"""Main text of web pages: page structure, and repeats within a host.
 
 A page with an article element says itself what its main text is: the blocks inside, without
-menus, footers, forms, adverts and comments. For pages without one, the words of all blocks that
-are not marked as such stand in a stream for each page. Streams of one host are searched for long
-substrings that recur on distinct pages, as neighbours in a suffix array have them in common: it
-is enough to sort suffixes by their first ``GRAM`` words, so equal beginnings are grouped by hash
-and host, and minima and maxima of pages combined before the shuffle tell repeats. Blocks covered
-by such substrings are boilerplate; runs of blocks that are not stay.
+menus, footers, forms, adverts and comments. For pages without one, it is all blocks that are not
+marked as such. The words of all blocks of all pages, those outside of articles too, stand in a
+stream for each page. Streams of one host are searched for long substrings that recur on distinct
+pages, as neighbours in a suffix array have them in common: it is enough to sort suffixes by their
+first ``GRAM`` words, so equal beginnings are grouped by hash and host. Blocks covered by such
+substrings are boilerplate, on pages that name their main text and on those that do not; only
+paragraphs and headings of a named article stay, as articles may share passages.
+
+Copies of an article are no distinct pages. Pages count as copies of each other if hardly any
+words are in blocks of their own and the block that tells most about them is the same.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from stayledger.llm.common import pieces, store
 GRAM = 6
 #: Distinct pages, and share of a host's pages, that boilerplate is on at least.
 PAGES, SHARE = 3, 0.1
+#: A page is no copy of others if this share of its words is in blocks that no other page has.
+OWN = 0.2
 
 #: Element names of HTML, and words that sites use for parts beside the article.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -49,8 +55,8 @@ _TOKEN = re.compile(
     r"""|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)>"""
     r"|</?[a-z][^>]*(?:>|\Z)", re.I | re.S)
 _ATTRIBUTE = re.compile(r"""([a-z][a-z0-9:-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-#: Pages that name their main text, as far as can be told without parsing.
-MARKED = r"(?i)<(article|main)[\s/>]|role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articlebody"
+#: Elements of running text: in an article they are its own, whatever other pages share.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 
 
 def _kind(name: str, rest: str, inside: bool) -> str:
@@ -69,18 +75,18 @@ def _kind(name: str, rest: str, inside: bool) -> str:
     return ""
 
 
-def blocks(page: str) -> tuple[bool, list[str]]:
-    """Whether the page names its main text, and the blocks of that or else of all that is not
-    marked as standing beside it."""
+def _read(page: str) -> tuple[bool, list[tuple[str, bool]], list[str]]:
+    """Whether the page names its main text; the blocks of that, or else of all that is not marked
+    as standing beside it, each with whether repeats may remove it; the other blocks."""
     stack: list[tuple[str, str]] = []
     main = beside = 0
-    named, inner, outer, held = False, [], [], []
+    named, inner, outer, held, within = False, [], [], [], ""
 
     def done() -> None:
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
         if text:
-            (inner if main else outer).append(text)
+            (inner if main else outer).append((text, not main or within not in _PROSE))
 
     def pop() -> None:
         nonlocal main, beside
@@ -105,6 +111,8 @@ def blocks(page: str) -> tuple[bool, list[str]]:
                 while stack[-1][0] != name:
                     pop()
                 pop()
+            if name not in _INLINE:
+                within = next((x for x, _ in reversed(stack) if x not in _INLINE), "")
         elif name not in _VOID:
             kind = _kind(name, token["rest"], main > 0)
             if kind == "beside" and not beside:
@@ -115,62 +123,95 @@ def blocks(page: str) -> tuple[bool, list[str]]:
                 stack.append((name, kind))
                 main += kind == "main"
                 beside += kind == "beside"
+            if name not in _INLINE:
+                within = name
     if not beside:
         held.append(page[at:])
         done()
-    return named, inner if named else outer
+    return (True, inner, [x for x, _ in outer]) if named else (False, outer, [])
+
+
+def blocks(page: str) -> tuple[bool, list[str]]:
+    """Whether the page names its main text, and the blocks of that or else of all that is not
+    marked as standing beside it."""
+    named, found, _ = _read(page)
+    return named, [x for x, _ in found]
 
 
-def _parse(pages: DataFrame, name: str) -> DataFrame:
-    """Columns of ``pages`` (row, page_id, url, html) with ``blocks`` in place of ``html``."""
+def _parse(pages: DataFrame) -> DataFrame:
+    """Columns of ``pages`` (row, page_id, url, html) with the parts of ``html`` in its place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole, 500):
-                found = [blocks(x) for x in batch["html"].to_pylist()]
+                found = [_read(x) for x in batch["html"].to_pylist()]
                 yield pa.record_batch({
                     "row": batch["row"], "page_id": batch["page_id"], "url": batch["url"],
-                    name: pa.array([b for _, b in found], pa.list_(pa.string()))})
+                    "named": pa.array([n for n, _, _ in found], pa.bool_()),
+                    "blocks": pa.array([[x for x, _ in b] for _, b, _ in found], pa.list_(pa.string())),
+                    "open": pa.array([[x for _, x in b] for _, b, _ in found], pa.list_(pa.bool_())),
+                    "others": pa.array([o for _, _, o in found], pa.list_(pa.string()))})
+
+    return pages.mapInArrow(run, "row long, page_id long, url string, named boolean, blocks array<string>, "
+                                 "open array<boolean>, others array<string>")
+
 
-    return pages.mapInArrow(run, f"row long, page_id long, url string, {name} array<string>")
+def _articles(pages: DataFrame) -> DataFrame:
+    """(row, article): what each page counts as, the same for copies of an article."""
+    parts = pages.select("row", "host", "copy", F.explode("body").alias("text")).select(
+        "row", "host", "copy", F.xxhash64("text").alias("part"), F.size(F.split("text", " ")).alias("words"))
+    on = parts.select("host", "part", "copy").distinct().groupBy("host", "part").agg(F.count("*").alias("on"))
+    weight = F.struct(F.col("words") / F.log2(F.col("on") + 1), -F.col("on"), "part")
+    return parts.join(on, ["host", "part"]).groupBy("row", "copy").agg(
+        F.sum("words").alias("words"), F.sum(F.when(F.col("on") == 1, F.col("words")).otherwise(0)).alias("own"),
+        F.max_by("part", weight).alias("part")).select("row", F.when(
+            F.col("own") >= OWN * F.col("words"), F.col("copy")).otherwise(F.col("part")).alias("article"))
 
 
 def _unrepeated(parsed: DataFrame) -> DataFrame:
-    """``blocks`` of pages that name no main text, without the boilerplate of their host."""
+    """``blocks`` of all pages without the boilerplate of their host."""
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z]+://([^/:?#]*)", 1)), F.lit(""))
-    pages = store(parsed.withColumns({"host": host, "copy": F.xxhash64("blocks")}), "pages")
+    pages = store(parsed.withColumn("host", F.xxhash64(host)), "pages")
+    # where no block may go, repeats decide nothing: such hosts need no counts
+    hosts = store(pages.where(F.exists("open", lambda x: x)).select("host").distinct(), "hosts")
+    body = F.when(F.col("named") & (F.size("blocks") > 0), F.col("blocks")).otherwise(F.concat("blocks", "others"))
+    seen = pages.join(hosts, "host", "left_semi").withColumn("body", body).withColumn("copy", F.xxhash64("body"))
+    seen = seen.join(_articles(seen), "row").select("row", "host", "article", "blocks", "open", "others")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         digest = xxhash.xxh3_64_intdigest
+        names = ("row", "host", "article", "blocks", "open", "others")
         for whole in batches:
             for batch in pieces(whole, 200):
                 rows = []
-                for row, host, copy, texts in zip(*(batch[c].to_pylist() for c in ("row", "host", "copy", "blocks"))):
-                    for k, text in enumerate(texts):
+                for row, host, article, texts, free, others in zip(*(batch[c].to_pylist() for c in names)):
+                    seed = host & (1 << 64) - 1
+                    for k, (text, may_go) in enumerate(zip(texts + others, free + [False] * len(others))):
                         words = text.split(" ")
                         for i in range(max(1, len(words) - GRAM + 1)):
-                            h = digest(" ".join(words[i:i + GRAM]).encode())
-                            rows.append((row, host, copy, k, i, len(words), h - (1 << 64) if h >> 63 else h))
+                            h = digest(" ".join(words[i:i + GRAM]).encode(), seed)
+                            rows.append((row, host, article, k, i, len(words), may_go, h - (1 << 64) if h >> 63 else h))
                 if rows:
-                    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                     ["row", "host", "copy", "block", "at", "words", "gram"])
-
-    suffixes = store(pages.mapInArrow(
-        grams, "row long, host string, copy long, block int, at int, words int, gram long"), "suffixes")
-    # pages that are copies of each other count once
-    hosts = pages.select("host", "copy").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    shared = suffixes.select("host", "gram", "copy").distinct().groupBy("host", "gram").agg(
-        F.count("*").alias("n")).where(F.col("n") >= PAGES).join(hosts, "host").where(
-        F.col("n") >= SHARE * F.col("pages")).select("host", "gram", F.lit(True).alias("common"))
+                    kinds = (pa.int64(),) * 3 + (pa.int32(),) * 3 + (pa.bool_(), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                        ["row", "host", "article", "block", "at", "words", "open", "gram"])
+
+    suffixes = store(seen.mapInArrow(
+        grams, "row long, host long, article long, block int, at int, words int, open boolean, gram long"), "suffixes")
+    # copies of an article count once
+    sizes = suffixes.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    shared = suffixes.select("host", "gram", "article").distinct().groupBy("host", "gram").agg(
+        F.count("*").alias("n")).where(F.col("n") >= PAGES).join(sizes, "host").where(
+        F.col("n") >= SHARE * F.col("pages")).select("host", "gram")
     # a block is boilerplate if common substrings cover all its words
-    marked = suffixes.join(shared, ["host", "gram"], "left").groupBy("row", "block").agg(
-        F.max("words").alias("words"), F.array_sort(F.collect_set(F.when(F.col("common"), F.col("at")))).alias("at"))
+    marked = suffixes.where("open").join(shared, ["host", "gram"]).groupBy("row", "block").agg(
+        F.max("words").alias("words"), F.array_sort(F.collect_set("at")).alias("at"))
     last = F.element_at("at", -1) + GRAM
-    covered = (F.size("at") > 0) & (F.col("at")[0] == 0) & (last >= F.col("words")) & F.forall(
+    covered = (F.col("at")[0] == 0) & (last >= F.col("words")) & F.forall(
         F.zip_with("at", F.slice("at", 2, 1 << 30), lambda a, b: F.coalesce(b - a, F.lit(0))), lambda gap: gap <= GRAM)
-    gone = marked.where(covered).groupBy("row").agg(F.collect_set("block").alias("gone"))
+    gone = store(marked.where(covered).groupBy("row").agg(F.collect_set("block").alias("gone")), "gone")
     return pages.join(gone, "row", "left").select("page_id", "url", F.expr(
         "filter(blocks, (b, k) -> not array_contains(coalesce(gone, array()), k))").alias("blocks"))
 
@@ -186,6 +227,4 @@ def main_text(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
     rows = pages.select(F.xxhash64(F.col(id).cast("long"), F.col(url), page).alias("row"),
                         F.col(id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                         page.alias("html"))
-    named = _parse(rows.where(F.col("html").rlike(MARKED)), "blocks").select("page_id", "url", "blocks")
-    other = _unrepeated(_parse(rows.where(~F.col("html").rlike(MARKED)), "blocks"))
-    return named.unionByName(other).select("page_id", "url", F.array_join("blocks", "\n").alias("text"))
+    return _unrepeated(_parse(rows)).select("page_id", "url", F.array_join("blocks", "\n").alias("text"))

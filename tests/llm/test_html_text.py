@@ -73,3 +73,28 @@ def test_given_pages(spark):
         article = re.search(r"<article>(.*?)(?:</article>|\Z)", page, re.S)[1].replace("<b>", "")
         parts = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", article))
         assert got[i] == "\n".join(x for x in parts if x)
+
+
+def test_a_word_of_structure_in_a_comment_or_beside_names_no_text(spark):
+    common = "<div>" + prose(1, 12) + "</div>"
+    odd = ["<!-- <article> -->", '<script>var x="<main>";</script>', "<aside><article>see also</article></aside>",
+           '<article class="comment">me too</article>']
+    pages = [("http://h.example/%d" % i, PAGE.format(f"{common}{x}<p>{prose(10 + i, 25)}</p>")) for i, x in enumerate(odd)]
+    assert texts(main_text(rows(spark, *pages))) == {i: prose(10 + i, 25) for i in range(4)}
+
+
+def test_repeats_inside_articles_and_counts_over_all_pages(spark):
+    notice, quote = prose(1, 12), prose(2, 12)
+    named = [f"<article><p>{prose(10 + i, 25)}</p><div>{notice}</div><p>{quote}</p></article>" for i in range(3)]
+    page = PAGE.format(f"<div>{notice}</div><p>{prose(20, 25)}</p>")  # no article; the notice is known from the others
+    got = texts(main_text(rows(spark, *[("http://h.example/%d" % i, x) for i, x in enumerate(
+        [*map(PAGE.format, named), page])])))
+    assert got == {**{i: f"{prose(10 + i, 25)}\n{quote}" for i in range(3)}, 3: prose(20, 25)}
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_near_copies_of_an_article_are_one_page(spark, tag):
+    text = f"<div>{prose(1, 40)}</div><div>{prose(2, 30)}</div>"
+    pages = [("http://h.example/%d" % i, PAGE.format(f"<{tag}>{text}<div>on day {i}</div></{tag}>")) for i in range(4)]
+    got = texts(main_text(rows(spark, *pages)))
+    assert got == {i: f"{prose(1, 40)}\n{prose(2, 30)}\non day {i}" for i in range(4)}
