@@ -47,6 +47,12 @@ _BESIDE = re.compile(
     r"signup|share|sharing|social|comment|comments|commentlist|disqus|respond|reply|replies|related|"
     r"recommended|breadcrumb|breadcrumbs|menu|nav|navbar|navigation|footer|pagination|pager|widget|toolbar|"
     r"skip|paywall|login)(?:$|[\s_-])", re.I)
+#: Class words that say what a page is not laid out with, or has beside its text.
+_LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:with|without|no|non|not|has|have)[_-]\S*", re.I)
+#: Whole class names of adverts, comments and teasers: an element of such a name is no article of the page.
+_APART = re.compile(
+    r"(?:^|\s)(?:div-)?(?:ads?|advert|adverts|advertisement|comment|comments|reply|replies|respond|disqus|related|"
+    r"recommended|teaser)(?:[_-](?:body|box|card|content|entry|item|list|post|\d+))?(?:$|\s)", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(
@@ -60,74 +66,86 @@ _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 
 
 def _kind(name: str, rest: str, inside: bool) -> str:
-    """``main``, ``beside`` or nothing, for what an element holds."""
+    """``main``, ``beside``, ``named`` (beside by a class or id only) or nothing, for what an element holds."""
     if name in _SKIP or name == "header" and not inside:
         return "beside"
     found = {a.lower(): (b or c or d) for a, b, c, d in _ATTRIBUTE.findall(rest)} if rest.strip(" /") else {}
     role = found.get("role", "").lower()
     if (role in _ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-            or re.search(r"display\s*:\s*none", found.get("style", ""), re.I)
-            or name not in ("html", "body") and (
-                _BESIDE.search(found.get("class", "")) or _BESIDE.search(found.get("id", "")))):
+            or re.search(r"display\s*:\s*none", found.get("style", ""), re.I)):
         return "beside"
-    if name in ("article", "main") or role == "main" or found.get("itemprop", "").lower() == "articlebody":
+    if name == "main" or role == "main" or found.get("itemprop", "").lower() == "articlebody":
         return "main"
-    return ""
+    marks = [_LAYOUT.sub("", x) for x in (found.get("class", ""), found.get("id", "")) if x]
+    if name not in ("html", "body") and any(_APART.search(x) for x in marks):
+        return "beside"
+    if name == "article":
+        return "main"
+    return "named" if name not in ("html", "body") and any(_BESIDE.search(x) for x in marks) else ""
+
+
+#: What text counts as below an element of some kind: outside and inside of the article, below a
+#: class or id that stands for parts beside it, in an article there, and left out.
+_STEPS = {
+    "outer": {"main": "inner", "beside": "left", "named": "aside"},
+    "inner": {"beside": "left", "named": "left"},
+    "aside": {"main": "within", "beside": "left"},
+    "within": {"beside": "left", "named": "left"},
+    "left": {}}
 
 
 def _read(page: str) -> tuple[bool, list[tuple[str, bool]], list[str]]:
     """Whether the page names its main text; the blocks of that, or else of all that is not marked
     as standing beside it, each with whether repeats may remove it; the other blocks."""
     stack: list[tuple[str, str]] = []
-    main = beside = 0
-    named, inner, outer, held, within = False, [], [], [], ""
+    state, tag, named, held = "outer", "", False, []
+    texts = {"outer": [], "inner": [], "within": []}
 
     def done() -> None:
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
-        if text:
-            (inner if main else outer).append((text, not main or within not in _PROSE))
-
-    def pop() -> None:
-        nonlocal main, beside
-        kind = stack.pop()[1]
-        main -= kind == "main"
-        beside -= kind == "beside"
+        if text and state in texts:
+            texts[state].append((text, state == "outer" or tag not in _PROSE))
 
     at = 0
     for token in _TOKEN.finditer(page):
-        if not beside and token.start() > at:
+        if state in texts and token.start() > at:
             held.append(page[at:token.start()])
         at = token.end()
         name = (token["name"] or "").lower()
         if not name:
             continue
-        if name not in _INLINE and not beside:
+        if name not in _INLINE and state in texts:
             done()
-        elif name == "br" and not beside:
+        elif name == "br" and state in texts:
             held.append(" ")
         if token["end"]:
             if any(x == name for x, _ in stack):
                 while stack[-1][0] != name:
-                    pop()
-                pop()
+                    stack.pop()
+                before = stack.pop()[1]
+                if before != state:
+                    done()
+                state = before
             if name not in _INLINE:
-                within = next((x for x, _ in reversed(stack) if x not in _INLINE), "")
+                tag = next((x for x, _ in reversed(stack) if x not in _INLINE), "")
         elif name not in _VOID:
-            kind = _kind(name, token["rest"], main > 0)
-            if kind == "beside" and not beside:
+            kind = _kind(name, token["rest"], state in ("inner", "within"))
+            after = _STEPS[state].get(kind, state)
+            if after != state:
                 done()
-            if kind == "main" and not beside:
-                named = True
             if name not in ("b", "i", "em", "p", "li") or kind:  # often left open; they change nothing
-                stack.append((name, kind))
-                main += kind == "main"
-                beside += kind == "beside"
+                stack.append((name, state))
+                state = after
+            named = named or state == "inner"
             if name not in _INLINE:
-                within = name
-    if not beside:
-        held.append(page[at:])
-        done()
+                tag = name
+    held.append(page[at:])
+    done()
+    outer, inner, within = ([*texts[x]] for x in ("outer", "inner", "within"))
+    # a class or id does not hide the article: one below it counts if it outweighs what stands outside
+    if within and not inner and sum(len(x) for x, _ in within) > sum(len(x) for x, _ in outer):
+        named, inner = True, within
     return (True, inner, [x for x, _ in outer]) if named else (False, outer, [])
 
 

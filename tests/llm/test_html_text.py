@@ -98,3 +98,20 @@ def test_near_copies_of_an_article_are_one_page(spark, tag):
     pages = [("http://h.example/%d" % i, PAGE.format(f"<{tag}>{text}<div>on day {i}</div></{tag}>")) for i in range(4)]
     got = texts(main_text(rows(spark, *pages)))
     assert got == {i: f"{prose(1, 40)}\n{prose(2, 30)}\non day {i}" for i in range(4)}
+
+
+@pytest.mark.parametrize("body", [
+    '<article class="post has-sidebar"><p>own text</p></article>', '<main class="with-sidebar"><p>own text</p></main>',
+    '<div class="no-sidebar"><article><p>own text</p></article></div>', '<main id="share"><p>own text</p></main>',
+    '<article class="post sponsored"><p>own text</p><div class="sidebar">s</div></article>',
+    '<div id="sidebar-left-layout"><nav>n</nav><article><p>own text</p><div class="comments">c</div></article></div><p>x</p>'])
+def test_classes_do_not_hide_the_article(body):
+    assert blocks(PAGE.format(body)) == (True, ["own text"])
+
+
+@pytest.mark.parametrize("body", [
+    '<div class="no-sidebar"><p>own text</p></div><div class="sidebar"><p>s</p></div>',
+    '<p>own text</p><div class="sidebar"><article>see</article></div>', '<p>own text</p><article class="comment">c</article>',
+    '<p>own text</p><div class="comments"><article id="div-comment-7" class="comment-body">a longer text</article></div>'])
+def test_articles_beside_the_text_do_not_name_it(body):
+    assert blocks(PAGE.format(body)) == (False, ["own text"])
