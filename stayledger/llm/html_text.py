@@ -5,9 +5,9 @@ menus, footers, forms, adverts and comments. For pages without one, it is all bl
 marked as such. The words of all blocks of all pages, those outside of articles too, stand in a
 stream for each page. Streams of one host are searched for long substrings that recur on distinct
 pages, as neighbours in a suffix array have them in common: it is enough to sort suffixes by their
-first ``GRAM`` words, so equal beginnings are grouped by hash and host. Blocks covered by such
-substrings are boilerplate, on pages that name their main text and on those that do not; only
-paragraphs and headings of a named article stay, as articles may share passages.
+first ``GRAM`` words, so equal beginnings are grouped by hash and host. Words covered by such
+substrings are boilerplate, on pages that name their main text and on those that do not, and runs of
+words that are not stay; only paragraphs and headings of a named article stay, as articles may share passages.
 
 Copies of an article are no distinct pages. Pages count as copies of each other if hardly any
 words are in blocks of their own and the block that tells most about them is the same.
@@ -27,8 +27,8 @@ from stayledger.llm.common import pieces, store
 
 #: Words that a repeated substring has at least; blocks shorter than this are compared whole.
 GRAM = 6
-#: Distinct pages, and share of a host's pages, that boilerplate is on at least.
-PAGES, SHARE = 3, 0.1
+#: Distinct pages of a host that boilerplate is on at least, however many pages the host has.
+PAGES = 3
 #: A page is no copy of others if this share of its words is in blocks that no other page has.
 OWN = 0.2
 
@@ -209,29 +209,38 @@ def _unrepeated(parsed: DataFrame) -> DataFrame:
                         words = text.split(" ")
                         for i in range(max(1, len(words) - GRAM + 1)):
                             h = digest(" ".join(words[i:i + GRAM]).encode(), seed)
-                            rows.append((row, host, article, k, i, len(words), may_go, h - (1 << 64) if h >> 63 else h))
+                            rows.append((row, article, k, i, may_go, h - (1 << 64) if h >> 63 else h))
                 if rows:
-                    kinds = (pa.int64(),) * 3 + (pa.int32(),) * 3 + (pa.bool_(), pa.int64())
+                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                        ["row", "host", "article", "block", "at", "words", "open", "gram"])
+                        ["row", "article", "block", "at", "open", "gram"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in pieces(whole, 500):
+                kept = []
+                for texts, gone in zip(batch["blocks"].to_pylist(), batch["gone"].to_pylist()):
+                    for part in gone:
+                        words = texts[part["block"]].split(" ")
+                        for i in part["at"]:
+                            words[i:i + GRAM] = [None] * len(words[i:i + GRAM])
+                        texts[part["block"]] = " ".join(w for w in words if w is not None)
+                    kept.append([x for x in texts if x])
+                yield pa.record_batch({"page_id": batch["page_id"], "url": batch["url"],
+                                       "blocks": pa.array(kept, pa.list_(pa.string()))})
 
     suffixes = store(seen.mapInArrow(
-        grams, "row long, host long, article long, block int, at int, words int, open boolean, gram long"), "suffixes")
-    # copies of an article count once
-    sizes = suffixes.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    shared = suffixes.select("host", "gram", "article").distinct().groupBy("host", "gram").agg(
-        F.count("*").alias("n")).where(F.col("n") >= PAGES).join(sizes, "host").where(
-        F.col("n") >= SHARE * F.col("pages")).select("host", "gram")
-    # a block is boilerplate if common substrings cover all its words
-    marked = suffixes.where("open").join(shared, ["host", "gram"]).groupBy("row", "block").agg(
-        F.max("words").alias("words"), F.array_sort(F.collect_set("at")).alias("at"))
-    last = F.element_at("at", -1) + GRAM
-    covered = (F.col("at")[0] == 0) & (last >= F.col("words")) & F.forall(
-        F.zip_with("at", F.slice("at", 2, 1 << 30), lambda a, b: F.coalesce(b - a, F.lit(0))), lambda gap: gap <= GRAM)
-    gone = store(marked.where(covered).groupBy("row").agg(F.collect_set("block").alias("gone")), "gone")
-    return pages.join(gone, "row", "left").select("page_id", "url", F.expr(
-        "filter(blocks, (b, k) -> not array_contains(coalesce(gone, array()), k))").alias("blocks"))
+        grams, "row long, article long, block int, at int, open boolean, gram long"), "suffixes")
+    # grams of different hosts differ by the seed of their hash; copies of an article count once
+    shared = suffixes.select("gram", "article").distinct().groupBy("gram").agg(
+        F.count("*").alias("n")).where(F.col("n") >= PAGES).select("gram")
+    gone = store(suffixes.where("open").join(shared, "gram").groupBy("row", "block").agg(
+        F.collect_set("at").alias("at")).groupBy("row").agg(
+        F.collect_list(F.struct("block", "at")).alias("gone")), "gone")
+    whole = pages.join(gone, "row", "left_anti").select("page_id", "url", "blocks")
+    return whole.unionByName(pages.join(gone, "row").select("page_id", "url", "blocks", "gone").mapInArrow(
+        cut, "page_id long, url string, blocks array<string>"))
 
 
 def main_text(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

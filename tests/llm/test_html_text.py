@@ -115,3 +115,12 @@ def test_classes_do_not_hide_the_article(body):
     '<p>own text</p><div class="comments"><article id="div-comment-7" class="comment-body">a longer text</article></div>'])
 def test_articles_beside_the_text_do_not_name_it(body):
     assert blocks(PAGE.format(body)) == (False, ["own text"])
+
+
+def test_the_bar_does_not_grow_with_the_host_and_runs_go_from_blocks(spark):
+    menu, notice = prose(1, 12), prose(2, 12)
+    body = ["<div>{0}</div><p>{1}</p>", "<p>{1} {2} {3}</p>", "<p>{1}</p>"]
+    pages = [("http://h.example/%d" % i, PAGE.format(body[min(i // 3, 2)].format(
+        menu, prose(10 + i, 25), notice, prose(100 + i, 8)))) for i in range(60)]
+    got = texts(main_text(rows(spark, *pages)))
+    assert got == {i: prose(10 + i, 25) + (" " + prose(100 + i, 8) if i // 3 == 1 else "") for i in range(60)}
