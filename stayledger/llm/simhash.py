@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import pieces, store, texts
+from stayledger.llm.common import pieces, small_batches, store, texts
 from stayledger.llm.components import components
 
 BITS, SHINGLE, SEED = 64, 4, 42
@@ -49,15 +49,21 @@ def fingerprint(text: bytes) -> int:
     return int.from_bytes(np.packbits(count * 2 > len(h), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp) for each row; ``fp`` holds the bits of an unsigned number in a long."""
+def _printed(rows: DataFrame, schema: str) -> DataFrame:
+    """Columns of ``rows`` with the fingerprint ``fp`` in place of ``text``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole):
                 fps = np.array([fingerprint(x) for x in batch["text"].to_pylist()], np.uint64)
-                yield pa.record_batch({"doc_id": batch["doc_id"], "fp": pa.array(fps.view(np.int64))})
+                yield pa.record_batch({**{c: batch[c] for c in batch.schema.names if c != "text"},
+                                       "fp": pa.array(fps.view(np.int64))})
+
+    return rows.mapInArrow(run, schema)
+
 
-    return texts(docs, id, text).mapInArrow(run, "doc_id long, fp long")
+def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, fp) for each row; ``fp`` holds the bits of an unsigned number in a long."""
+    return _printed(texts(docs, id, text), "doc_id long, fp long")
 
 
 def _syndromes() -> np.ndarray:
@@ -172,10 +178,24 @@ def near_duplicates(docs: DataFrame, threshold: int = 4, id: str = "doc_id",
 
 
 def first_of_each(docs: DataFrame, threshold: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row of the smallest id of each group of near duplicates, with all its columns; of rows
-    that share this id, the one with the least hash of text."""
-    kept = near_duplicates(docs, threshold, id, text).where("doc_id = component_id").select(
-        F.col("doc_id").alias("_kept")).distinct()
-    order = Window.partitionBy("_kept").orderBy(F.xxhash64(F.col(text)))
-    return docs.join(kept, F.col(id).cast("long") == F.col("_kept")).withColumn(
-        "_nth", F.row_number().over(order)).where("_nth = 1").drop("_kept", "_nth")
+    """One row of each group of near duplicates, with all its columns: that of the smallest id, and
+    of rows that share this id the one with the least hash of id and text.
+
+    Rows are told apart by that hash, so different texts that share an id are documents of their
+    own, and rows without an id take part, after all others of their group. Null texts count as
+    empty; of rows that repeat id and text one stays; no rows give no rows.
+    """
+    small_batches(docs.sparkSession)
+    number = F.col(id).cast("long")
+    data = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
+    key = F.xxhash64(number, data)
+    prints = store(_printed(docs.select(number.alias("doc_id"), key.alias("key"), data.alias("text")),
+                            "doc_id long, key long, fp long"), "fingerprints")
+    nodes = store(prints.select("fp", F.col("fp").alias("node")).distinct(), "nodes")
+    named = nodes.join(components(links(nodes, threshold)), "node", "left").select(
+        "fp", F.coalesce("component", "node").alias("group"))
+    kept = prints.join(named, "fp").groupBy("group").agg(F.min(F.struct(
+        F.col("doc_id").isNull(), "doc_id", "key")).alias("first")).select(F.col("first.key").alias("_kept"))
+    order = Window.partitionBy("_kept").orderBy(F.xxhash64(*docs.columns))
+    return docs.withColumn("_key", key).join(kept, F.col("_key") == F.col("_kept")).withColumn(
+        "_nth", F.row_number().over(order)).where("_nth = 1").drop("_key", "_kept", "_nth")

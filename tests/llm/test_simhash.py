@@ -87,3 +87,13 @@ def test_first_of_each_group_keeps_its_row(spark):
     got = first_of_each(rows)
     assert got.columns == rows.columns
     assert sorted((r.doc_id, r.text, r.extra) for r in got.collect()) == [(1, "a b c d", 2), (2, "x y z w q", 4)]
+
+
+def test_texts_that_share_an_id_or_have_none_are_documents(spark):
+    near, unique, other, lone = prose(1, 80), prose(2, 80), prose(3, 80), prose(4, 80)
+    rows = spark.createDataFrame([(i, t, "", "", 1) for i, t in [
+        (3, near), (7, near.upper()), (7, unique), (8, other), (8, lone), (None, prose(5, 80)), (None, prose(6, 80)),
+        (None, unique), (None, None), (None, "")]], DOCS)
+    got = first_of_each(rows.unionByName(rows)).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in got) == sorted([
+        ("3", near), ("7", unique), ("8", other), ("8", lone), ("None", prose(5, 80)), ("None", prose(6, 80)), ("None", "")])
