@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import table
+from stayledger.llm.common import store, table
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +90,21 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stayledger.llm.prefix_trie import conversations, trie
+
+    given = store(conversations(table(spark, sf_dir, "conversations")), "conversations")
+    first = F.col("conv_id") - F.col("conv_id") % 100
+    own = given.withColumns({"first": first, "h": F.coalesce(
+        F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6, F.lit(0)).cast("int")})
+    heads = given.where(F.col("conv_id") == first).select(
+        F.col("conv_id").alias("first"), F.slice("steps", 1, 5).alias("head"))
+    nothing = F.slice("steps", 1, 0)
+    return trie(own.join(heads, "first", "left").select("conv_id", F.concat(
+        F.slice(F.coalesce("head", nothing), F.lit(1), F.col("h")),
+        F.slice("steps", F.col("h") + 1, F.size("steps"))).alias("steps")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -136,5 +151,47 @@ FROM written GROUP BY conv_id
 """
 
 
+#: Rebuilt conversations as strings of turn digests; every prefix of one is a node, every pair of a
+#: node and one of its own prefixes adds to the sums of a subtree.
+_OP12 = """
+WITH given AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS nth
+  FROM conversations),
+steps AS (
+  SELECT conv_id, nth, sha256(length(role) || ':' || role || text) AS step, length(text) AS size FROM given),
+bits AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS first, coalesce(xor(list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(range(8 * length(conv_id::VARCHAR)),
+      k -> ((ascii(substring(conv_id::VARCHAR, (k // 8 + 1)::INT, 1)) >> (k % 8)::INT) & 1)::BIGINT)),
+    (c, b) -> xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 6, 0) AS h FROM steps),
+rebuilt AS (
+  SELECT b.conv_id, 0 AS half, s.nth, s.step, s.size FROM bits b JOIN steps s ON s.conv_id = b.first AND s.nth <= b.h
+  UNION ALL
+  SELECT b.conv_id, 1, s.nth, s.step, s.size FROM bits b JOIN steps s ON s.conv_id IS NOT DISTINCT FROM b.conv_id AND s.nth > b.h),
+paths AS (
+  SELECT b.conv_id, coalesce(list(r.step ORDER BY half, nth) FILTER (r.step IS NOT NULL), []) AS path,
+    coalesce(list(r.size ORDER BY half, nth) FILTER (r.step IS NOT NULL), []) AS sizes
+  FROM bits b LEFT JOIN rebuilt r ON r.conv_id IS NOT DISTINCT FROM b.conv_id GROUP BY b.conv_id),
+beginnings AS (
+  SELECT conv_id, unnest(range(len(path) + 1)) AS depth, path, sizes FROM paths),
+nodes AS (
+  SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(any_value(sizes[depth]), 0) AS size,
+    sha256(coalesce(string_agg(CASE WHEN len(path) = depth THEN conv_id END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM beginnings GROUP BY ALL),
+children AS (SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+above AS (
+  SELECT node[1:up] AS node, sum((n_convs - 1) * size) AS saved, sum(leaf) AS leaves FROM (
+    SELECT n.node, n.n_convs, n.size, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(depth + 1)) AS up
+    FROM nodes n LEFT JOIN children c ON c.node = n.node) GROUP BY ALL)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS n_children, CAST(a.leaves AS BIGINT) AS n_leaves,
+  CAST(a.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN above a ON a.node = n.node LEFT JOIN children c ON c.node = n.node
+LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat": _OP4, "op10_exact_topk": _OP10}
+    return {"op4_chat": _OP4, "op10_exact_topk": _OP10, "op12_prefix_trie": _OP12}
