@@ -105,6 +105,17 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.slice("steps", F.col("h") + 1, F.size("steps"))).alias("steps")))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stayledger.llm.pii import KINDS, personal_data, printed
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[F.size(F.filter("base", lambda s: s.kind == k)).cast("long").alias(f"n_{name}")  # noqa: B023
+                    for k, name in enumerate(KINDS)],
+        F.sha2(printed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        printed(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -163,8 +174,8 @@ steps AS (
 bits AS (
   SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS first, coalesce(xor(list_reduce(list_concat([4294967295::BIGINT],
     list_transform(range(8 * length(conv_id::VARCHAR)),
-      k -> ((ascii(substring(conv_id::VARCHAR, (k // 8 + 1)::INT, 1)) >> (k % 8)::INT) & 1)::BIGINT)),
-    (c, b) -> xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 6, 0) AS h FROM steps),
+      lambda k: ((ascii(substring(conv_id::VARCHAR, (k // 8 + 1)::INT, 1)) >> (k % 8)::INT) & 1)::BIGINT)),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 6, 0) AS h FROM steps),
 rebuilt AS (
   SELECT b.conv_id, 0 AS half, s.nth, s.step, s.size FROM bits b JOIN steps s ON s.conv_id = b.first AND s.nth <= b.h
   UNION ALL
