@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stayledger.functions.codes import coded_number, day, target_credits
 from stayledger.operators.ledger import of_years, player_days
+from stayledger.operators.scale import keys_of
 from stayledger.operators.trip_models import promotion_chain, without_guests
 
 
@@ -145,11 +146,11 @@ def inconsistent_guests(rows: DataFrame) -> DataFrame:
     """Guests beyond their target on a day that is no promotion day."""
     no_promotion = (F.col("day") != F.col("changed_on")) | F.col("changed_on").isNull()
     return (rows.where((F.col("running_credits") > F.col("target_credits")) & no_promotion)
-            .select("guest_id").distinct())
+            .select("guest_id"))
 
 
 def drop_inconsistent(rows: DataFrame) -> DataFrame:
-    return rows.join(inconsistent_guests(rows), "guest_id", "left_anti")
+    return rows.join(keys_of(inconsistent_guests(rows), "guest_id"), "guest_id", "left_anti")
 
 
 def without_promotion_day(rows: DataFrame) -> DataFrame:
@@ -159,13 +160,23 @@ def without_promotion_day(rows: DataFrame) -> DataFrame:
 
 def latest_of_active(rows: DataFrame, as_of: date, keep: int = 6) -> DataFrame:
     """Latest rows of the guests who were active the day before ``as_of``."""
-    active = rows.where(F.col("day") == F.date_sub(F.lit(as_of), 1)).select("guest_id").distinct()
+    active = rows.where(F.col("day") == F.date_sub(F.lit(as_of), 1))
     latest = Window.partitionBy("guest_id").orderBy(*_latest_first(rows))
-    return (rows.join(active, "guest_id", "left_semi")
+    return (rows.join(keys_of(active, "guest_id"), "guest_id", "left_semi")
             .withColumn("recency", F.row_number().over(latest))
             .where(F.col("recency") <= keep))
 
 
+def latest_before(rows: DataFrame, active: DataFrame, keep: int = 6) -> DataFrame:
+    """Latest rows before each date of ``active`` (guest_id, as_of), for guests who have one on the
+    day before it. One window serves all dates."""
+    run = Window.partitionBy("guest_id", "as_of")
+    before = rows.join(active.select("guest_id", "as_of").distinct(), "guest_id").where(F.col("day") < F.col("as_of"))
+    return (before.withColumn("_last", F.max("day").over(run))
+            .withColumn("recency", F.row_number().over(run.orderBy(*_latest_first(rows))))
+            .where((F.col("_last") == F.date_sub("as_of", 1)) & (F.col("recency") <= keep)).drop("_last"))
+
+
 def _latest_first(rows: DataFrame) -> list:
     order = [F.col("days_left")]
     if "trip_day" in rows.columns:

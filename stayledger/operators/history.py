@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stayledger.functions.codes import (
     DROP_IN, EARNED, IN_HOUSE, LOCAL, coded_number, day, midnight, target_credits)
-from stayledger.operators.scale import materialize
+from stayledger.operators.scale import keys_of, materialize
 from stayledger.operators.trips import REASONS
 
 PERIOD = ["guest_id", "calendar_year", "changed_at"]
@@ -130,14 +130,14 @@ def natural_promotions_of_history(history: DataFrame, enum: DataFrame, xref: Dat
               .withColumn("earned_share",
                           F.col("credits").cast("double") / F.col("target_credits")))
     return (_with_player(earned_only(earned, year), xref)
-            .join(by_hand, ["player_id", "changed_at"], "left_anti")
+            .join(keys_of(by_hand, "player_id", "changed_at"), ["player_id", "changed_at"], "left_anti")
             .where(F.col("earned_share") > share))
 
 
 def natural_promotions(rollup: DataFrame, enum: DataFrame, xref: DataFrame,
                        activity: DataFrame, year: int) -> DataFrame:
     """Earned promotions of guests whose tier was never set by hand in the year."""
-    by_hand = set_tier_activity(activity, year).select("player_id").distinct()
+    by_hand = keys_of(set_tier_activity(activity, year), "player_id")
     earned = earned_only(with_reason_labels(rollup, enum), year)
     return _with_player(earned, xref).join(by_hand, "player_id", "left_anti")
 
@@ -145,7 +145,7 @@ def natural_promotions(rollup: DataFrame, enum: DataFrame, xref: DataFrame,
 def special_only_guests(labelled: DataFrame, natural: DataFrame) -> DataFrame:
     """Promoted guests without a natural promotion."""
     return (labelled.select("guest_id").distinct()
-            .join(natural.select("guest_id").distinct(), "guest_id", "left_anti"))
+            .join(keys_of(natural, "guest_id"), "guest_id", "left_anti"))
 
 
 _BEST = ("gaming_credits", "non_gaming_credits", "credits", "trips", "trip_days",

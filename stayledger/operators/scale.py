@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-#: Milestones of the blocks that are open.
+#: Milestones of the blocks that are open, innermost last.
 _written: list[list[tuple[SparkSession, str]]] = []
 
 
@@ -52,24 +52,46 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    for block in _written:
-        block.append((df.sparkSession, path))
+    if _written:
+        _written[-1].append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def milestones() -> Iterator[None]:
-    """Delete what ``materialize`` writes inside the block when the block ends; frames that are
-    built on it must be used or written before."""
+def milestones() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Delete what ``materialize`` writes inside the block when the block ends.
+
+    The block gets a function that writes a result like ``materialize``, but for the code around
+    the block: it stays when the block ends, and goes with the enclosing block if there is one.
+    Frames that are built on anything else written inside must be used or written before.
+    """
     _written.append([])
+
+    def result(df: DataFrame, name: str) -> DataFrame:
+        inner = _written.pop()
+        try:
+            return materialize(df, name)
+        finally:
+            _written.append(inner)
+
     try:
-        yield
+        yield result
     finally:
         for spark, path in _written.pop():
             folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def keys_of(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys for the right side of a semi or anti join, a few copies of each at most.
+
+    AQE splits a hot key of the left side only if the right side is shuffled for the join itself.
+    Distinct keys lie where their aggregation has put them, so there is no such shuffle. Here
+    the aggregation goes by key and a part of the input, and the join deals its rows anew.
+    """
+    return df.select(*keys, (F.spark_partition_id() % 8).alias("_part")).distinct().select(*keys)
+
+
 def running_total(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:
     """Running sum per key up to and including rows of the same instant.
 

@@ -19,17 +19,18 @@ def _vector(features: Sequence[str]):
 
 
 def trailing_windows(rows: DataFrame, features: Sequence[str], steps: int = STEPS,
-                     anchors: tuple[int, int] | None = None) -> DataFrame:
-    """The last ``steps`` rows up to every active day of a guest; with ``anchors`` only up to
-    days with that many days left.
+                     anchors: tuple[int, int] | None = None,
+                     by: Sequence[str] = ("guest_id",)) -> DataFrame:
+    """The last ``steps`` rows up to every active day of a guest, or of what ``by`` names; with
+    ``anchors`` only up to days with that many days left.
 
     One window frame per guest instead of one self-join per day of the year. Where trips
     overlap, a day has several rows; its last row is the anchor and gives the label.
     """
-    order = Window.partitionBy("guest_id").orderBy(*_row_order(rows))
+    order = Window.partitionBy(*by).orderBy(*_row_order(rows))
     frame = order.rowsBetween(-(steps - 1), Window.currentRow)
     label = [F.col("label")] if "label" in rows.columns else []
-    windows = (rows.select("guest_id", "day", "days_left", *label,
+    windows = (rows.select(*by, "day", "days_left", *label,
                            F.collect_list(_vector(features)).over(frame).alias("sequence"),
                            F.lead("day").over(order).alias("_next"))
                .where(F.col("_next").isNull() | (F.col("_next") != F.col("day"))))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayledger.functions.codes import day, midnight, next_target, target_credits
+from stayledger.operators.scale import keys_of
 
 _SO_FAR = ("guest_id", "days_left", "credits", "gaming_credits", "non_gaming_credits", "gender",
            "age", "location")
@@ -13,7 +14,7 @@ _SO_FAR = ("guest_id", "days_left", "credits", "gaming_credits", "non_gaming_cre
 
 def without_guests(df: DataFrame, *groups: DataFrame) -> DataFrame:
     for group in groups:
-        df = df.join(group.select("guest_id").distinct(), "guest_id", "left_anti")
+        df = df.join(keys_of(group, "guest_id"), "guest_id", "left_anti")
     return df
 
 

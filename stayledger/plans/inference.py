@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.operators import days, features, scoring, sequences, trips, visits
-from stayledger.operators.ledger import of_years
-from stayledger.operators.scale import materialize
+from stayledger.operators.ledger import of_years, player_days, with_guest
+from stayledger.operators.scale import materialize, milestones
 from stayledger.plans import training
 from stayledger.plans.training import Cohort, Tables
 from stayledger.schemas import NEW_GUEST_FEATURES, RETURNING_FEATURES
@@ -52,32 +52,55 @@ def new_guest_rows(src: Tables, cohort: Cohort) -> DataFrame:
         src["ledger"], src["member_xref"], _lodged(src, chosen, cohort.year), cohort.year))
 
 
-def log_scored(scores: DataFrame, path: str) -> None:
-    """Append the number of scored guests and their latest day to the run log."""
-    tables.log_run(tables.freshness(scores, "scores", "day"), path)
+def active_guests(src: Tables, as_of: Sequence[date]) -> DataFrame:
+    """(guest_id, as_of): guests with credits on the day before each date, from those days of the
+    player days alone."""
+    before = F.col("day").isin([d - timedelta(days=1) for d in as_of])
+    return (with_guest(player_days(src["ledger"]).where(before).select("player_id", "day"), src["member_xref"])
+            .select("guest_id", F.date_add("day", 1).alias("as_of")).distinct())
 
 
-def daily_run(src: Tables, cohort: Cohort, as_of: list[date], scaler_path: str, scorer: scoring.Scorer,
+def log_scored(scores: DataFrame, as_of: Sequence[date], path: str) -> None:
+    """Append the number of scored guests and their latest day, for each date, to the run log."""
+    dates = scores.sparkSession.createDataFrame([(d,) for d in as_of], "as_of date")
+    per_date = scores.groupBy("as_of").agg(F.max("day").cast("timestamp_ntz").alias("latest"), F.count("*").alias("row_count"))
+    tables.log_run(dates.join(per_date, "as_of", "left").select(
+        F.lit("scores").alias("step"), "latest", F.coalesce("row_count", F.lit(0)).alias("row_count")), path)
+
+
+def daily_run(src: Tables, cohort: Cohort, as_of: Sequence[date], scaler_path: str, scorer: scoring.Scorer,
               threshold: float, returning: bool, log_path: str) -> DataFrame:
     """From source tables to scored guests: day rows, stored scaler, scores and flags of the
-    guests who were active the day before each date; counts go to the run log."""
-    rows = materialize((returning_rows if returning else new_guest_rows)(src, cohort), "rows")
-    scaler, runs = tables.load_scaler(scaler_path), []
-    for when in as_of:
-        scores = materialize(score_active(rows, when, scaler, scorer, threshold, returning), "scores")
-        log_scored(scores, log_path)
-        runs.append(scores.withColumn("as_of", F.lit(when)))
-    return reduce(DataFrame.unionByName, runs)
+    guests who were active the day before each date; counts go to the run log.
+
+    ``src["ledger"]`` is the table of player days (``sources.day_store``), or a ledger. Guests are
+    chosen first, from the days before the dates; only their rows go any further. All dates
+    share one pass, and nothing but the scores stays behind.
+    """
+    src = training.conforming(src)
+    with milestones() as result:
+        active = materialize(active_guests(src, as_of), "active")
+        chosen = training.kept_days(training.of_guests(src, active), cohort)
+        rows = (returning_rows if returning else new_guest_rows)(chosen, cohort)
+        scores = result(score_dates(rows, active, tables.load_scaler(scaler_path), scorer, threshold, returning), "scores")
+    log_scored(scores, as_of, log_path)
+    return scores
+
+
+def score_dates(rows: DataFrame, active: DataFrame, scaler, scorer: scoring.Scorer, threshold: float,
+                returning: bool) -> DataFrame:
+    """Score and flag of the guests of ``active`` (guest_id, as_of) who have a row on the day before
+    the date, from their latest rows before it."""
+    names = RETURNING_FEATURES if returning else NEW_GUEST_FEATURES
+    scaled = features.apply_scaler(scaler, days.latest_before(rows, active, sequences.STEPS), names)
+    windows = sequences.padded(sequences.trailing_windows(
+        scaled, features.scaled_names(names), by=("guest_id", "as_of")), len(names))
+    yesterday = windows.where(F.col("day") == F.date_sub("as_of", 1))
+    return scoring.flag(scoring.score_sequences(yesterday, scorer, sequences.STEPS, len(names)), threshold)
 
 
 def score_active(rows: DataFrame, as_of: date, scaler, scorer: scoring.Scorer, threshold: float,
                  returning: bool) -> DataFrame:
-    """Score and flag of yesterday's guests, from their latest rows before ``as_of``."""
-    names = RETURNING_FEATURES if returning else NEW_GUEST_FEATURES
-    latest = days.latest_of_active(rows.where(rows.day < as_of), as_of, sequences.STEPS)
-    scaled = features.apply_scaler(scaler, latest, names)
-    windows = sequences.padded(
-        sequences.trailing_windows(scaled, features.scaled_names(names)), len(names))
-    yesterday = windows.where(windows.day == as_of - timedelta(days=1))
-    return scoring.flag(
-        scoring.score_sequences(yesterday, scorer, sequences.STEPS, len(names)), threshold)
+    """``score_dates`` for all guests of ``rows`` and one date."""
+    active = rows.where(F.col("day") == as_of - timedelta(days=1)).select("guest_id", F.lit(as_of).alias("as_of"))
+    return score_dates(rows, active, scaler, scorer, threshold, returning).drop("as_of")

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 
 from stayledger.operators import days, features, history, sequences, tiers, trips, visits
 from stayledger.operators.ledger import of_years, player_days
-from stayledger.operators.scale import materialize
-from stayledger.schemas import NEW_GUEST_FEATURES, RETURNING_FEATURES
+from stayledger.operators.scale import keys_of, materialize, milestones
+from stayledger.schemas import NEW_GUEST_FEATURES, PLAN_SOURCES, RETURNING_FEATURES, conform
 
 Tables = Mapping[str, DataFrame]
 
@@ -30,9 +30,12 @@ class Cohort:
 def with_player_days(src: Tables, cohort: Cohort) -> Tables:
     """Tables with the player days of both years, kept, in place of the ledger.
 
-    The one pass over the ledger: cohorts, trips and day rows all read its result.
+    The one pass over the ledger: cohorts, trips and day rows all read its result. Player days
+    that are there already are read where they lie.
     """
     both = of_years(src["ledger"], cohort.year - 1, cohort.year)
+    if "day" in both.columns:
+        return {**src, "ledger": both}
     return {**src, "ledger": materialize(player_days(both, cohort.property), "player_days")}
 
 
@@ -106,6 +109,55 @@ def new_guest_rows(src: Tables, cohort_trips: DataFrame, year: int) -> DataFrame
     return days.drop_inconsistent(materialize(rows, "new_days"))
 
 
+def conforming(src: Tables) -> Tables:
+    """The tables of ``PLAN_SOURCES`` by their contracts; player days in place of a ledger stay."""
+    return {name: df if "day" in df.columns else conform(df, PLAN_SOURCES[name]) for name, df in src.items()}
+
+
+def visitors(src: Tables, cohort: Cohort, returning: bool) -> DataFrame:
+    """Guests who can be in the cohort, by their visits alone."""
+    at = visits.at_property(rolled_trips(src, cohort, since=date(cohort.year - 1, 1, 1)), cohort.property)
+    return (visits.returning_guests(at, cohort.year) if returning
+            else visits.starting_in(at, cohort.year).select("guest_id"))
+
+
+def of_guests(src: Tables, guests: DataFrame) -> Tables:
+    """Tables with the rows of some guests and of their players only, so that nothing else is
+    aggregated or placed afterwards. The bridge is kept, as every table of players reads it."""
+    guests = keys_of(guests, "guest_id")
+    bridge = materialize(src["member_xref"].join(guests, "guest_id", "left_semi"), "bridge")
+    players = keys_of(bridge, "player_id")
+
+    def mine(name: str, keys: DataFrame, key: str) -> DataFrame:
+        return src[name].join(keys, key, "left_semi")
+
+    return {**src, "member_xref": bridge, "ledger": mine("ledger", players, "player_id"),
+            "tier_history": mine("tier_history", players, "player_id"),
+            "activity": mine("activity", players.withColumnRenamed("player_id", "loyalty_id"), "loyalty_id"),
+            "visit": mine("visit", guests, "guest_id"), "trip_demo": mine("trip_demo", guests, "guest_id")}
+
+
+def kept_days(src: Tables, cohort: Cohort) -> Tables:
+    """``with_player_days``, and player days that were there already are kept as well."""
+    kept = with_player_days(src, cohort)
+    return {**kept, "ledger": materialize(kept["ledger"], "player_days")} if "day" in src["ledger"].columns else kept
+
+
+def cohort_sequences(src: Tables, cohort: Cohort, returning: bool):
+    """(scaler, padded sequences) from source tables.
+
+    Visits tell who can be in the cohort; the ledger is cut down to the players of these guests
+    before its one pass. What is written on the way is deleted; the sequences stay.
+    """
+    src = conforming(src)
+    with milestones() as result:
+        src = kept_days(of_guests(src, visitors(src, cohort, returning)), cohort)
+        chosen = materialize((returning_trips if returning else new_trips)(src, cohort), "chosen")
+        rows = (returning_rows if returning else new_guest_rows)(of_guests(src, chosen), chosen, cohort.year)
+        scaler, padded = training_sequences(materialize(rows, "rows"), returning)
+        return scaler, result(padded, "sequences")
+
+
 def training_sequences(rows: DataFrame, returning: bool, scaler=None):
     """(scaler, padded sequences) of labelled day rows.
 

@@ -50,6 +50,17 @@ SOURCES = {
     "purse_policy": PURSE_POLICY, "member": MEMBER, "member_tier": MEMBER_TIER,
     "member_tier_history": MEMBER_TIER_HISTORY, "merged_member": MERGED_MEMBER}
 
+def _only(table: T.StructType, *left_out: str) -> T.StructType:
+    return T.StructType([f for f in table.fields if f.name not in left_out])
+
+
+#: Contracts of the tables that training and the daily run read; the ledger may be player days.
+PLAN_SOURCES = {
+    "visit": _only(VISIT, "net_gaming_revenue"), "ledger": LEDGER, "member_xref": MEMBER_XREF, "trip_demo": TRIP_DEMO,
+    "tier_history": _only(TIER_HISTORY, "enrolled_at", "current_tier", "current_tier_at", "survivor_player_id"),
+    "reason_enum": REASON_ENUM, "activity": _only(ACTIVITY, "activity_id", "member_id", "location_id", "activity_at",
+                                                  "activity_status", "lob", "user_id", "delete_flag")}
+
 #: Model inputs of a returning guest, one row per active day.
 RETURNING_FEATURES = (
     "credits", "days_left", "day_no", "running_credits", "trip_length", "trip_day",

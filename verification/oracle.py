@@ -197,6 +197,8 @@ NO_PROMOTION_DAY = "(changed_on <> day OR changed_on IS NULL)"
 CELL = ", ".join(f"CAST(CAST(round({f} * 100) AS BIGINT) AS VARCHAR)" for f in EVENT_FEATURES)
 STEP = f"concat_ws(',', {CELL})"
 
+#: Names of common table expressions.
+NAMES = r"\b(?:fx|st|ci|ni|wi|wr|wn)_\w+"
 CTES: dict[str, str] = {
     # stand-ins
     "fx_activity": f"""SELECT o_orderkey AS activity_id, o_custkey AS member_id,
@@ -783,13 +785,14 @@ BODIES: dict[str, str] = {
 }
 
 
-def scaled_rows(source, names):
-    """Rows with every feature scaled by its range over all of them; a constant one is one half."""
+def scaled_rows(source, names, fitted=None):
+    """Rows with every feature scaled by its range over all of them, or over the rows ``fitted``;
+    a constant one is one half."""
     bounds = ", ".join(f"min(CAST({c} AS DOUBLE)) AS lo_{c}, max(CAST({c} AS DOUBLE)) AS hi_{c}"
                        for c in names)
     cells = ", ".join(f"CASE WHEN hi_{c} = lo_{c} THEN 0.5 ELSE (CAST({c} AS DOUBLE) - lo_{c}) "
                       f"/ (hi_{c} - lo_{c}) END AS {c}_scaled" for c in names)
-    return f"SELECT r.*, {cells} FROM {source} r, (SELECT {bounds} FROM {source})"
+    return f"SELECT r.*, {cells} FROM {source} r, (SELECT {bounds} FROM {fitted or source})"
 
 
 def mean_logit(names, over=""):
@@ -837,14 +840,44 @@ def simulated(scaled, names):
 CONSISTENT = """SELECT * FROM {rows} WHERE guest_id NOT IN (
     SELECT guest_id FROM {rows} WHERE running_credits > target_credits
       AND (day <> changed_on OR changed_on IS NULL))"""
+
+
+def over(target, source, by, prefix):
+    """The expression ``target`` and all below it that read ``source``, under names of their own,
+    with ``by`` in its place."""
+    def below(name):
+        return {n for n in re.findall(NAMES, CTES[name]) if n in CTES and n != name}
+
+    found: dict[str, bool] = {}
+
+    def reads(name):
+        if name not in found:
+            found[name] = name == source or any([reads(n) for n in below(name)])
+        return found[name]
+
+    reads(target)
+    new = {n: prefix + n.split("_", 1)[1] for n, yes in found.items() if yes and n != source} | {source: by}
+    return {new[n]: re.sub(NAMES, lambda m: new.get(m[0], m[0]), CTES[n]) for n in new if n != source}
+
+
 CTES |= {
-    "ci_scaled": scaled_rows("ci_rows", RETURNING_FEATURES),
-    "ni_shared": shares("ni_rows"),
-    "ni_scaled": scaled_rows("ni_shared", NEW_GUEST_FEATURES),
-    "ci_active": scored_active("ci_rows", "ci_scaled", RETURNING_FEATURES),
-    "ni_active": scored_active("ni_shared", "ni_scaled", NEW_GUEST_FEATURES),
     "st_model": CONSISTENT.format(rows="st_day_features"),
     "st_model_new": CONSISTENT.format(rows="st_day_features_new"),
+    "ni_shared": shares("ni_rows"),
+    # whole runs: a wider cohort, trained on its own trips
+    "wi_dominant": CTES["st_dominant"].replace("* 0.5", "* 0.1"),
+    "wi_cohort": "SELECT * FROM st_rolled WHERE guest_id IN (FROM st_returning) AND guest_id IN (FROM wi_dominant)",
+}
+CTES |= over("ci_rows", "st_dominant", "wi_dominant", "wi_")
+CTES |= over("st_model", "st_rolled", "wi_cohort", "wr_")
+CTES |= over("st_model_new", "st_rolled", "st_new_cohort", "wn_")
+CTES |= {
+    "wr_scaled": scaled_rows("wr_model", RETURNING_FEATURES),
+    "wn_scaled": scaled_rows("wn_model_new", NEW_GUEST_FEATURES),
+    "ci_scaled": scaled_rows("wi_rows", RETURNING_FEATURES, "wr_model"),
+    "ni_scaled": scaled_rows("ni_shared", NEW_GUEST_FEATURES, "wn_model_new"),
+    "ci_active": scored_active("wi_rows", "ci_scaled", RETURNING_FEATURES),
+    "ni_active": scored_active("ni_shared", "ni_scaled", NEW_GUEST_FEATURES),
     "st_model_scaled": scaled_rows("st_model", RETURNING_FEATURES),
     "st_model_new_scaled": scaled_rows("st_model_new", NEW_GUEST_FEATURES),
     "st_simulated": simulated("st_model_scaled", RETURNING_FEATURES),
@@ -864,6 +897,8 @@ BODIES |= {
         f"SELECT 'scores' AS step, CAST(max(day) AS TIMESTAMP) AS latest, count(*) AS row_count "
         f"FROM {source} WHERE as_of = DATE '{when}'"
         for source in ("ci_active", "ni_active") for when in AS_OF),
+    "cohort_sequences_returning": training_steps("wr_scaled", RETURNING_FEATURES, 700),
+    "cohort_sequences_new": training_steps("wn_scaled", NEW_GUEST_FEATURES, 500),
     "train_sequences_returning": training_steps("st_model_scaled", RETURNING_FEATURES, 700),
     "train_sequences_new": training_steps("st_model_new_scaled", NEW_GUEST_FEATURES, 500),
     "train_score": f"""SELECT s.* REPLACE (steps || repeat(';0,0,0,0', CAST(6 - length AS BIGINT)) AS steps),
@@ -891,7 +926,7 @@ def with_ctes(body: str) -> str:
     ordered: list[str] = []
 
     def need(text: str) -> None:
-        for name in re.findall(r"\b(?:fx|st|ci|ni)_\w+", text):
+        for name in re.findall(NAMES, text):
             if name in CTES and name not in ordered:
                 need(CTES[name])
                 ordered.append(name)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.ml.functions import vector_to_array
@@ -24,8 +24,8 @@ from verification.standins import ONLINE, PROPERTY, SHARE, SYSTEM, StandIns
 HIST, YEAR = 2023, 2024
 EVENT_FEATURES = ("credits", "days_left", "day_no", "running_credits")
 WEIGHTS, BIAS = (1.5, -2.0, 0.5, 3.0), -1.0
-#: Days on which the daily run is tried: in the year, and the first of the next one.
-AS_OF = (date(2024, 6, 16), date(2025, 1, 1))
+#: Dates of the daily run: four weeks of the year, and the first day of the next one.
+AS_OF = (*(date(2024, 6, 3) + timedelta(days=k) for k in range(28)), date(2025, 1, 1))
 MODEL_BIAS = -0.5
 
 
@@ -34,6 +34,8 @@ def model_weights(names):
 
 
 COHORT = training.Cohort(PROPERTY, YEAR, ONLINE, SHARE)
+#: Whom whole runs train on and score: those with a tenth of their credits at the property.
+WIDE = training.Cohort(PROPERTY, YEAR, ONLINE, 0.1)
 
 SPECS: dict[str, str] = {}
 BODIES: dict[str, Callable[["Flow"], DataFrame]] = {}
@@ -160,18 +162,21 @@ class Flow:
         return scale.materialize(
             training.new_guest_rows(self.days, self.kept_rolled, YEAR), "new")
 
-    def scaler_of(self, rows, names):
-        path = scale.work_path(self.spark, "scaler")
-        tables.save_scaler(features.fit_scaler(rows, names), path)
-        return path
+    def trained_on_cohort(self, returning):
+        """(path of the stored scaler, sequences) of the training plan; kept with the tables."""
+        if returning not in self.x.trained:
+            scaler, windows = training.cohort_sequences(self.x.tables, WIDE, returning)
+            path = scale.work_path(self.spark, "scaler")
+            tables.save_scaler(scaler, path)
+            self.x.trained[returning] = path, windows
+        return self.x.trained[returning]
 
     def daily_run(self, returning):
-        """Scores of the daily run and the path of its log."""
+        """Scores of the daily run over the stored player days, and the path of its log."""
         names = RETURNING_FEATURES if returning else NEW_GUEST_FEATURES
-        rows = (inference.returning_rows if returning else inference.new_guest_rows)(self.x.tables, COHORT)
         log = scale.work_path(self.spark, "run_log")
         return inference.daily_run(
-            self.x.tables, COHORT, list(AS_OF), self.scaler_of(rows, names),
+            {**self.x.tables, "ledger": self.x.player_days}, WIDE, AS_OF, self.trained_on_cohort(returning)[0],
             scoring.LinearScorer(model_weights(names), MODEL_BIAS), 0.4, returning, log), log
 
     def simulated(self, returning):
@@ -937,6 +942,16 @@ def scored_run_log(f):
 _STEPS = "guest_id:b day:t days_left:b label:b steps:s length:b"
 
 
+@query(_STEPS)
+def cohort_sequences_returning(f):
+    return as_text(f.trained_on_cohort(True)[1], ["guest_id", "day", "days_left", "label"], 1_000_000)
+
+
+@query(_STEPS)
+def cohort_sequences_new(f):
+    return as_text(f.trained_on_cohort(False)[1], ["guest_id", "day", "days_left", "label"], 1_000_000)
+
+
 def _training_sequences(f, rows, returning):
     _, windows = training.training_sequences(rows, returning)
     path = scale.work_path(f.spark, "sequences")
