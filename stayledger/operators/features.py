@@ -72,14 +72,17 @@ def guest_split(rows: DataFrame, train_share: float = 0.8, salt: str = "split")
     return rows.withColumn("side", F.when(side, "train").otherwise("test"))
 
 
-def fit_encoder(rows: DataFrame) -> PipelineModel:
-    """Locations one-hot and genders indexed by frequency, assembled into ``features``."""
-    return Pipeline(stages=[
-        StringIndexer(inputCol="location", outputCol="location_index"),
-        OneHotEncoder(inputCol="location_index", outputCol="location_vector"),
-        StringIndexer(inputCol="gender", outputCol="gender_index"),
-        VectorAssembler(inputCols=list(ENCODED_FEATURES), outputCol="features", handleInvalid="keep"),
-    ]).fit(rows)
+def encode(rows: DataFrame) -> DataFrame:
+    """Locations one-hot and genders indexed by frequency, assembled into ``features``.
+
+    The indexes are tables that are joined, so no task and no driver holds all values.
+    """
+    for column, index in (("location", "location_index"), ("gender", "gender_index")):
+        known = materialize(category_index(rows, column).select(column, F.col("idx").cast("double").alias(index)), "index")
+        rows = rows.join(known, column)
+    one_hot = OneHotEncoder(inputCol="location_index", outputCol="location_vector").fit(rows)
+    return VectorAssembler(inputCols=list(ENCODED_FEATURES), outputCol="features",
+                           handleInvalid="keep").transform(one_hot.transform(rows))
 
 
 def trainable(rows: DataFrame) -> DataFrame:
@@ -92,16 +95,27 @@ def trip_training_set(rows: DataFrame, balanced: bool = True) -> DataFrame:
     numeric = (balance(kept) if balanced else kept).withColumns(
         {c: F.col(c).cast("double") for c in ENCODED_FEATURES
          if c not in ("gender_index", "location_vector")})
-    return (fit_encoder(numeric).transform(numeric)
+    return (encode(numeric)
             .withColumn("label", promo_trip_bucket("success_trips"))
             .select("guest_id", "features", "label"))
 
 
-def category_index(rows: DataFrame, column: str) -> DataFrame:
-    """Index of each value by falling frequency, equal ones in alphabetical order."""
-    counts = rows.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias("rows"))
-    order = Window.orderBy(F.desc("rows"), column)  # over one row for each value
-    return counts.withColumn("idx", F.row_number().over(order).cast("long") - 1)
+def category_index(rows: DataFrame, column: str, range_values: int = 50_000) -> DataFrame:
+    """Index of each value by falling frequency, equal ones in alphabetical order.
+
+    Values are dealt into ranges of that order. A value's index is its place in the range after
+    the totals of the ranges before; the only window over everything has a row for each range.
+    """
+    counts = materialize(rows.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias("rows")), "counts")
+    ranges = -(-counts.count() // range_values) or 1
+    dealt = materialize(counts.repartitionByRange(ranges, F.desc("rows"), column).withColumn(
+        "_range", F.spark_partition_id()), "ranges")
+    totals = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = totals.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("rows"), column)) - 1
+    return dealt.join(F.broadcast(first), "_range").select(
+        column, "rows", (F.col("_first") + place).cast("long").alias("idx"))
 
 
 def profile(rows: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -78,6 +78,29 @@ def with_later_promotions(trips: DataFrame, promoted: DataFrame, year: int) -> D
         unmatched, allowMissingColumns=True))
 
 
+def with_promotion_ranges(trips: DataFrame, promoted: DataFrame, year: int) -> DataFrame:
+    """Trips with the first and last promotion of the year that follows them and how many do: what
+    ``with_later_promotions`` says in a row for each pair, in a row for each trip.
+
+    A trip starts at a midnight, so promotions are counted per player and day first; a player
+    brings at most a year of days to the window, beside the days on which trips start. Running
+    counts over both, from the end of the year back, are the ranges.
+    """
+    at = F.col("changed_at")
+    on = (promoted.where((at >= midnight(year, 1, 1)) & (at < midnight(year + 1, 1, 1)))
+          .groupBy("player_id", F.to_date("changed_at").alias("_day"))
+          .agg(F.count("*").alias("_n"), F.min("changed_at").alias("_first"), F.max("changed_at").alias("_last")))
+    inside = (F.col("trip_start") >= day(year, 1, 1)) & (F.col("trip_start") < day(year + 1, 1, 1))
+    starts = trips.where(inside).select("player_id", F.col("trip_start").alias("_day")).distinct()
+    later = Window.partitionBy("player_id").orderBy("_day").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    ranges = (on.unionByName(starts, allowMissingColumns=True).select(
+        "player_id", F.col("_day").alias("trip_start"), F.col("_n").isNull().alias("_trip"),
+        F.min("_first").over(later).alias("first_promoted_at"), F.max("_last").over(later).alias("last_promoted_at"),
+        F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("later_promotions")).where("_trip").drop("_trip"))
+    return _described(trips.join(ranges, ["player_id", "trip_start"], "left").withColumn(
+        "later_promotions", F.coalesce("later_promotions", F.lit(0))))
+
+
 def promotion_spans(promoted: DataFrame, year: int) -> DataFrame:
     """Promotions with the instant of the one before, else the start of the year."""
     return previous_instant(promoted, "player_id", "changed_at", "prev_changed_at",

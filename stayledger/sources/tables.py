@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import MinMaxScalerModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,12 +35,36 @@ def latest_rows(df: DataFrame, snapshot: str) -> DataFrame:
     return df.join(F.broadcast(newest), snapshot, "left_semi")
 
 
+def newest_partition(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """Rows of the newest snapshot of a table partitioned by ``column``. The name comes from the
+    folders, so no row of the table is read for it and the scan opens one partition."""
+    folder = newest_snapshot(spark, path)
+    rows = spark.read.option("basePath", path).parquet(path)
+    return rows.where(F.col(column) == F.lit(folder.rsplit("=", 1)[1]).cast(rows.schema[column].dataType))
+
+
 def write_by_year(df: DataFrame, path: str, ts: str) -> None:
-    """Overwrite as Parquet, one folder per calendar year, so that year filters prune."""
-    (df.withColumn("calendar_year", F.year(ts)).write.mode("overwrite")
+    """Write as Parquet, one folder per calendar year, so that year filters prune. Years with rows
+    in ``df`` are replaced, all others stay as they are."""
+    (df.withColumn("calendar_year", F.year(ts)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("calendar_year").parquet(path))
 
 
+def write_snapshot(df: DataFrame, path: str, column: str) -> None:
+    """Add or replace the snapshots that ``df`` holds in a table partitioned by ``column``."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+
+
+def write_observed(df: DataFrame, path: str, step: str, ts: str) -> DataFrame:
+    """Overwrite as Parquet and return the freshness row of what was written, which the tasks of
+    the write have counted: no second job and no second reading."""
+    seen = Observation(step)
+    write(df.observe(seen, F.max(ts).cast("timestamp_ntz").alias("latest"), F.count(F.lit(1)).alias("row_count")), path)
+    row = seen.get
+    return df.sparkSession.createDataFrame(
+        [(step, row["latest"], row["row_count"])], "step string, latest timestamp_ntz, row_count long")
+
+
 def write(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 

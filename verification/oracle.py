@@ -642,6 +642,9 @@ BODIES: dict[str, str] = {
       SELECT 'tier_history', max(changed_at), count(*) FROM fx_tier_history""",
     "ledger_sink_roundtrip": """SELECT *, year(ts) AS calendar_year FROM fx_ledger
       WHERE year(ts) = 2024""",
+    "ledger_rewritten_year": """SELECT *, year(ts) AS calendar_year FROM fx_ledger
+      WHERE year(ts) = 2023 OR (year(ts) = 2024 AND lob_group = 'Non-Gaming')""",
+    "observed_write": "SELECT 'ledger' AS step, max(ts) AS latest, count(*) AS row_count FROM fx_ledger",
     "ledger_running": """SELECT *, sum(credits) OVER (PARTITION BY guest_id ORDER BY ts)
         AS running_credits FROM fx_ledger JOIN fx_xref USING (player_id)""",
     "member_xref": """SELECT player_id, guest_id, sum(credits) AS credits, count(*) AS rows
@@ -667,6 +670,9 @@ BODIES: dict[str, str] = {
     "trip_demo_join": "FROM st_demo_2023",
     "promotions_year": "FROM st_promos_2023",
     "trip_promo_fanout": "FROM st_fanout",
+    "trip_promo_ranges": """SELECT guest_id, player_id, trip_id, trip_start, trip_end, credits, lodging, calendar_year,
+        min(changed_at) AS first_promoted_at, max(changed_at) AS last_promoted_at, count(changed_at) AS later_promotions
+      FROM st_fanout GROUP BY ALL""",
     "trip_promo_disjoint": "FROM st_disjoint",
     "customer_history": "FROM st_periods",
     "train_rollup": "FROM st_rollup",

@@ -446,7 +446,25 @@ def newest_folder(f):
 @query("event_id:b snapshot:t user_id:b event_type:s"
        " ts:c value:d props:s")
 def latest_snapshot(f):
-    return tables.latest_rows(f.x.t("events").withColumn("snapshot", F.to_date("ts")), "snapshot")
+    """A table with a snapshot for each day of events, of which the newest one is read."""
+    path = scale.work_path(f.spark, "snapshots")
+    tables.write_snapshot(f.x.t("events").withColumn("snapshot", F.to_date("ts")).repartition("snapshot"), path, "snapshot")
+    return tables.newest_partition(f.spark, path, "snapshot")
+
+
+@query("player_id:s ts:c credits:d calendar_year:b site_name:s lob_group:s")
+def ledger_rewritten_year(f):
+    """Two years, of which the second one is written again with its non-gaming items alone."""
+    path = scale.work_path(f.spark, "ledger")
+    tables.write_by_year(ledger.of_years(f.x.ledger, HIST, YEAR), path, "ts")
+    tables.write_by_year(ledger.of_years(f.x.ledger, YEAR).where("lob_group = 'Non-Gaming'"), path, "ts")
+    return f.spark.read.parquet(path)
+
+
+@query("step:s latest:c row_count:b")
+def observed_write(f):
+    """What the write of a table has counted for the run log."""
+    return tables.write_observed(f.x.ledger, scale.work_path(f.spark, "ledger"), "ledger", "ts")
 
 
 @query(_TRIP)
@@ -490,6 +508,12 @@ def trip_promo_fanout(f):
     return trips.with_later_promotions(f.described(HIST), f.promotions(HIST), HIST)
 
 
+@query("guest_id:b player_id:s trip_id:s trip_start:t trip_end:t credits:d lodging:s "
+       "first_promoted_at:c last_promoted_at:c later_promotions:b calendar_year:b")
+def trip_promo_ranges(f):
+    return trips.with_promotion_ranges(f.described(HIST), f.promotions(HIST), HIST)
+
+
 @query(_PROMO)
 def trip_promo_disjoint(f):
     return trips.with_next_promotion(f.described(YEAR), f.promotions(YEAR), YEAR)
