@@ -1034,6 +1034,13 @@ def fp_model_by_lodging(f):
     return evaluation.count_by(fp_model_rows(f), "lodging_code")
 
 
+def prepare(spark: SparkSession, tables: StandIns) -> None:
+    """What a daily run finds in place: stored player days and the scalers of earlier trainings."""
+    tables.player_days.count()
+    for returning in (True, False):
+        Flow(spark, tables.sf_dir, tables).trained_on_cohort(returning)
+
+
 def runnable(tables: StandIns | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries, over the stand-ins of a folder or over ``tables``."""
     def bind(name):
