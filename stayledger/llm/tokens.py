@@ -50,20 +50,29 @@ class Encoder:
         return [np.array(x.ids, "<u2").tobytes() for x in found]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of single words. Words that begin with a space and a letter stand one after the
-        other in one text, which the library cuts into the same words."""
+        """Ids of single words, as many as possible in one text, which the library cuts into the
+        same words: behind spaces where white space is dropped, else those that begin with a
+        space and a letter."""
         if self.lower:
-            return self._whole(words)
+            return self._in_one_text(words, " ") or self._whole(words)
         joined = [i for i, w in enumerate(words) if w[0] == " " and w[1:2].isalpha()]
         alone = sorted(set(range(len(words))).difference(joined))
         out: list = [None] * len(words)
         for i, ids in zip(alone, self._whole([words[i] for i in alone])):
             out[i] = ids
-        found = self.library.encode("".join([words[i] for i in joined]), add_special_tokens=False)
-        ids, at = np.array(found.ids, "<u2").tobytes(), 0
-        ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(joined)), "right") * 2
-        for i, end in zip(joined, ends.tolist()):
-            out[i] = ids[at:end]
+        for i, ids in zip(joined, self._in_one_text([words[i] for i in joined], "")):
+            out[i] = ids
+        return out
+
+    def _in_one_text(self, words: list[str], glue: str) -> list[bytes]:
+        """Ids of the words of one text; none if the library counts other words."""
+        found = self.library.encode(glue.join(words), add_special_tokens=False)
+        of = np.array(found.word_ids, np.int64)
+        if len(of) and of[-1] != len(words) - 1:
+            return []
+        ids, at, out = np.array(found.ids, "<u2").tobytes(), 0, []
+        for end in (np.searchsorted(of, np.arange(len(words)), "right") * 2).tolist():
+            out.append(ids[at:end])
             at = end
         return out
 
