@@ -40,23 +40,25 @@ SPACE = "▁"
 
 
 class Words:
-    """Ids of texts by pieces whose ids do not depend on what stands beside them."""
+    """Ids of texts on several sides, by pieces whose ids do not depend on what stands beside them."""
 
-    def __init__(self, split, encode):
+    def __init__(self, split, *encode):
         self.split, self.encode = split, encode
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.new: list[dict[str, bytes]] = [{} for _ in encode]
+        self.old: list[dict[str, bytes]] = [{} for _ in encode]
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.new) > KEPT:
-            self.new, self.old = {}, self.new
+    def __call__(self, texts: list[str]) -> list[list[np.ndarray]]:
+        if len(self.new[0]) > KEPT:
+            self.new, self.old = [{} for _ in self.encode], self.new
         words = [self.split(t) for t in texts]
-        missing = set().union(*words).difference(self.new)
-        self.new.update((w, self.old[w]) for w in missing.intersection(self.old))
-        if missing := list(missing.difference(self.old)):
-            self.new.update(zip(missing, self.encode(missing)))
-        get = self.new.__getitem__
-        return [np.frombuffer(b"".join(map(get, w)), "<u2") for w in words]
+        missing = set().union(*words).difference(self.new[0])
+        again = missing.intersection(self.old[0])
+        missing = list(missing.difference(again))
+        for new, old, encode in zip(self.new, self.old, self.encode):
+            new.update((w, old[w]) for w in again)
+            if missing:
+                new.update(zip(missing, encode(missing)))
+        return [[np.frombuffer(b"".join(map(new.__getitem__, w)), "<u2") for w in words] for new in self.new]
 
 
 class Sides:
@@ -82,10 +84,10 @@ class Sides:
             raise ValueError("vocabularies of at most 65536 ids")
         self.a_size, self.b_size = (np.array([len(x) for x in s], np.int64) for s in (self.a_bytes, self.b_bytes))
 
-        def by_a(texts: list[str]) -> list[bytes]:
+        def a_alone(texts: list[str]) -> list[bytes]:
             return [np.array(x.ids, "<u2").tobytes() for x in library.encode_batch_fast(texts, add_special_tokens=False)]
 
-        def by_b(texts: list[str]) -> list[bytes]:
+        def b_alone(texts: list[str]) -> list[bytes]:
             """Of pieces that begin with a space, which the model adds itself."""
             bare = [t for t in texts if t.strip(" ")]
             found = dict(zip(bare, model.encode([t[1:] for t in bare], num_threads=1)))
@@ -95,10 +97,38 @@ class Sides:
                     found[t] = model.encode("a" + t, num_threads=1)[len(head):]
             return [np.array(found[t], "<u2").tobytes() for t in texts]
 
+        def together(texts: list[str], encode, alone, size: np.ndarray) -> list[bytes]:
+            """Ids of pieces that stand one after the other in one text, cut at their bytes; alone
+            where they end with white space, or where the bytes do not add up."""
+            out: list = [None] * len(texts)
+            safe = [i for i, t in enumerate(texts) if not t[-1:].isspace()]
+            for at in range(0, len(safe), 256):
+                own = safe[at:at + 256]
+                ids = np.array(encode("".join([texts[i] for i in own])), "<u2")
+                stops = np.cumsum([len(texts[i].encode()) for i in own])
+                ends = np.cumsum(size[ids])
+                cut = np.searchsorted(ends, stops)
+                if len(ends) and ends[-1] == stops[-1] and (ends[cut] == stops).all():
+                    low = 0
+                    for i, high in zip(own, (cut + 1).tolist()):
+                        out[i] = ids[low:high].tobytes()
+                        low = high
+            left = [i for i, x in enumerate(out) if x is None]
+            for i, x in zip(left, alone([texts[i] for i in left])):
+                out[i] = x
+            return out
+
+        def by_a(texts: list[str]) -> list[bytes]:
+            return together(texts, lambda t: library.encode(t, add_special_tokens=False).ids, a_alone, self.a_size)
+
+        def by_b(texts: list[str]) -> list[bytes]:
+            return together(texts, lambda t: model.encode(t[1:], num_threads=1), b_alone, self.b_size)
+
         # no token of either side holds a space after something else, so both may be cut there
         crossing = re.compile(rf"[^{SPACE}]{SPACE}")
-        pieces = re.compile(r" ++[^ ]*+(?:(?<=[^\S ]) ++[^ ]*+)*+") if not any(map(crossing.search, names)) else re.compile(r"(?s).+")
-        self.encode = Words(pieces.findall, by_a), Words(pieces.findall, by_b)
+        apart = not any(map(crossing.search, names))
+        split = re.compile(r" ++[^ ]*+(?:(?<=[^\S ]) ++[^ ]*+)*+" if apart else r"(?s).+").findall
+        self.encode = Words(split, *((by_a, by_b) if apart else (a_alone, b_alone)))
         self.written = [np.array([str(i).encode() + sep for i in range(len(s)) for sep in (b",", b"|", b";")], object)
                         for s in (self.a_bytes, self.b_bytes)]
 
@@ -114,15 +144,23 @@ def sides(a: str, b: str, folder: str | None = None) -> Sides:
 Tokens = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # ids and ends of both sides
 
 
-def links(t: Tokens, width: int) -> np.ndarray:
+def both_ends(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of tokens of either side, and those of both, the cuts; ends ascend on each side."""
+    ends = np.concatenate([t[1], t[3]])
+    ends.sort(kind="stable")
+    twice = ends[1:] == ends[:-1]
+    return ends[np.append(True, ~twice)[:len(ends)]], ends[1:][twice]
+
+
+def links(t: Tokens, width: int, ends: np.ndarray | None = None) -> np.ndarray:
     """Pair of ids, as one number, of each link between the tokens; they begin and end together."""
     a, a_end, b, b_end = t
-    ends = np.union1d(a_end, b_end)
+    ends = both_ends(t)[0] if ends is None else ends
     return a[np.searchsorted(a_end, ends)].astype(np.int64) * width + b[np.searchsorted(b_end, ends)]
 
 
 def cuts(t: Tokens) -> np.ndarray:
-    return np.intersect1d(t[1], t[3], assume_unique=True)
+    return both_ends(t)[1]
 
 
 def groups(t: Tokens, at: np.ndarray, side: Sides) -> list[bytes]:
@@ -145,7 +183,9 @@ def groups(t: Tokens, at: np.ndarray, side: Sides) -> list[bytes]:
 def distinct(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs, ascending, and how often they occur."""
     if times is None:
-        return np.unique(keys, return_counts=True)
+        keys = np.sort(keys)
+        first = np.nonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])[0]
+        return keys[first], np.diff(first, append=len(keys))
     found, back = np.unique(keys, return_inverse=True)
     return found, np.bincount(back, weights=times, minlength=len(found)).astype(np.int64)
 
@@ -259,14 +299,13 @@ def _short(docs: list[tuple], side: Sides) -> list[dict]:
     sizes_a, sizes_b = (np.array([len(d[k]) for d in docs]) for k in (2, 3))
     a, b = (np.concatenate([d[k] for d in docs]) for k in (2, 3))
     t = (a, np.cumsum(side.a_size[a]), b, np.cumsum(side.b_size[b]))
-    at = cuts(t)
+    ends, at = both_ends(t)
     written = groups(t, at, side)
     a_stop, b_stop = np.cumsum(sizes_a), np.cumsum(sizes_b)
     stops = t[1][a_stop - 1]  # every document ends with a cut
-    ends = np.union1d(t[1], t[3])
     link_stop, cut_stop = np.searchsorted(ends, stops) + 1, np.searchsorted(at, stops) + 1
     which = np.repeat(np.arange(len(docs)), np.diff(link_stop, prepend=0))
-    keys, times = distinct((which << 32) + links(t, len(side.b_bytes)))
+    keys, times = distinct((which << 32) + links(t, len(side.b_bytes), ends))
     key_stop = np.searchsorted(keys, np.arange(1, len(docs) + 1) << 32)
     pairs, times = (keys & 0xFFFFFFFF).astype("<u4"), times.astype("<u4")
     out, w, p, c, k = [], 0, 0, 0, 0
@@ -290,7 +329,7 @@ def _aligned(docs: DataFrame, a: str, b: str, folder: str | None, chunk: int) ->
             while at < batch.num_rows:  # some bytes of text at once, or one text
                 stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + AT_ONCE, "right")))
                 texts = [" " + x.decode() if x else "" for x in batch["text"][at:stop].to_pylist()]
-                ids = [encode(texts) for encode in side.encode]
+                ids = side.encode(texts)
                 short, out = [], []
                 for doc, text, x, y in zip(batch["doc_id"][at:stop].to_pylist(), texts, *ids):
                     row += 1

@@ -15,10 +15,13 @@ _own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """Folder of ``spark.checkpoint.dir``. Where that is unset, a local session gets a temporary
+    one; a cluster has no folder to share then, so that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="stayledger-llm-"))
     return _own_folder[0]
@@ -36,11 +39,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def texts(docs: DataFrame, id: str = "doc_id", text: str = "text", without_id: bool = False) -> DataFrame:
     """``id`` as long and ``text`` as UTF-8 bytes (null: empty), without the other columns.
-    Rows without an id are left out: no result could name them."""
+    Rows without an id stay if ``without_id`` says so; else no result could name them."""
     small_batches(docs.sparkSession)
-    return docs.where(F.col(id).isNotNull()).select(
+    return docs.where(F.lit(without_id) | F.col(id).isNotNull()).select(
         F.col(id).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
 

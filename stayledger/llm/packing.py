@@ -57,7 +57,7 @@ def cut(docs: DataFrame, size: int = SIZE, end: int = END, tokenizer: str = "wor
                         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                         ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "part", "nth"])
 
-    return texts(docs, id, text).mapInArrow(run, _CUT)
+    return texts(docs, id, text, without_id=True).mapInArrow(run, _CUT)
 
 
 def patterns(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, tuple[int, ...]]]:
@@ -112,7 +112,7 @@ def pack(docs: DataFrame, size: int = SIZE, end: int = END, tokenizer: str = "wo
     """Pieces with their places: (doc_id, start, length, ids_crc32, doc_tokens, ids, sequence_id,
     offset). ``start`` counts the document's ids before the piece, ``offset`` the sequence's.
 
-    Null and empty texts are documents of the id ``end`` alone; rows without an id are left out;
+    Null and empty texts are documents of the id ``end`` alone; a null id is an id like any other;
     repeated rows are packed as often; other columns play no part; no rows give no pieces.
     """
     if not 0 < size <= 1 << 20:

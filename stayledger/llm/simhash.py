@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import pieces, small_batches, store, texts
+from stayledger.llm.common import fresh, pieces, small_batches, store, texts
 from stayledger.llm.components import components
 
 BITS, SHINGLE, SEED = 64, 4, 42
@@ -195,7 +195,7 @@ def first_of_each(docs: DataFrame, threshold: int = 4, id: str = "doc_id", text:
     named = nodes.join(components(links(nodes, threshold)), "node", "left").select(
         "fp", F.coalesce("component", "node").alias("group"))
     kept = prints.join(named, "fp").groupBy("group").agg(F.min(F.struct(
-        F.col("doc_id").isNull(), "doc_id", "key")).alias("first")).select(F.col("first.key").alias("_kept"))
-    order = Window.partitionBy("_kept").orderBy(F.xxhash64(*docs.columns))
-    return docs.withColumn("_key", key).join(kept, F.col("_key") == F.col("_kept")).withColumn(
-        "_nth", F.row_number().over(order)).where("_nth = 1").drop("_key", "_kept", "_nth")
+        F.col("doc_id").isNull(), "doc_id", "key")).alias("first")).select(F.col("first.key").alias(own := fresh("_key", docs)))
+    order, nth = Window.partitionBy(own).orderBy(F.xxhash64(*docs.columns)), fresh("_nth", docs)
+    return docs.withColumn(own, key).join(kept, own).withColumn(nth, F.row_number().over(order)).where(
+        F.col(nth) == 1).select(*docs.columns)

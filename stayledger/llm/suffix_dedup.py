@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayledger.llm.common import pieces, small_batches, store
+from stayledger.llm.common import fresh, pieces, small_batches, store
 
 LENGTH, GRAM = 200, 64
 #: Number of offsets that a start can have before its anchor.
@@ -266,17 +266,17 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     data = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     keyed = docs.select(F.xxhash64(F.col(id).cast("string"), data).alias("key"), data.alias("text"))
     long = keyed.where(F.length("text") >= LENGTH)
-    parts = repeated(long).select(F.col("key").alias("_key"), F.col("starts").alias("_starts"),
-                                  F.col("stops").alias("_stops"))
-    joined = docs.drop(*_ADDED.names).withColumn(
-        "_key", F.xxhash64(F.col(id).cast("string"), data)).join(parts, "_key", "left").withColumn("_data", data)
+    own, bytes_, low, high = (fresh(c, docs) for c in ("_key", "_data", "_starts", "_stops"))
+    parts = repeated(long).select(F.col("key").alias(own), F.col("starts").alias(low), F.col("stops").alias(high))
+    joined = docs.drop(*_ADDED.names).withColumn(own, F.xxhash64(F.col(id).cast("string"), data)).withColumn(
+        bytes_, data).join(parts, own, "left")
     names = [c for c in docs.columns if c not in _ADDED.names]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole, 200):
                 out = []
-                for text, a, z in zip(*(batch[c].to_pylist() for c in ("_data", "_starts", "_stops"))):
+                for text, a, z in zip(*(batch[c].to_pylist() for c in (bytes_, low, high))):
                     runs = merged(a, z) if a else []
                     out.append((len(text), sum(z - a for a, z in runs), len(runs),
                                 [{"start": a, "stop": z} for a, z in runs], _without(text, runs),

@@ -120,7 +120,7 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
         at, w, bias = ftrl(rows)
         yield pa.record_batch({"at": pa.array(np.append(at, -1)), "w": pa.array(np.append(w, bias))})
 
-    fitted = rows.mapInArrow(hashed, "doc_id long, label int, at binary").coalesce(1).sortWithinPartitions(
+    fitted = rows.mapInArrow(hashed, "doc_id long, label int, at binary").repartition(1).sortWithinPartitions(
         F.xxhash64("doc_id"), "doc_id", "label", "at").mapInArrow(fit, "at long, w double")
     found = {r.at: r.w for r in fitted.collect()}  # at most one row for each hash
     bias = found.pop(-1)

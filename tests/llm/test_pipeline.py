@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stayledger.llm import queries, toxicity
+from stayledger.llm import queries, simhash, toxicity
 from stayledger.llm.common import table
 from tests.llm.helpers import docs, prose
 from tests.llm.test_simhash import groups, slow_fingerprint
@@ -75,3 +75,15 @@ def test_same_as_sql(spark, name):
 
 def test_ten_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+
+
+def test_stages_keep_rows_without_an_id_and_columns_of_any_name(spark):
+    names = ["_key", "_nth", "_kept", "_data", "_starts", "_stops", "c0", "score"]
+    rows = spark.createDataFrame([(1, prose(1, 80)), (None, prose(2, 80)), (None, prose(3, 80))], "doc_id bigint, text string")
+    rows = rows.withColumns({c: F.lit(c) for c in names})
+    kept = simhash.first_of_each(rows)
+    assert kept.columns == rows.columns and kept.count() == 3
+    cut = corpus_pipeline.cut_repeats(spark, kept, "")
+    assert cut.columns == rows.columns and cut.count() == 3 and cut.where("_data = '_data' AND _key = '_key'").count() == 3
+    packed = corpus_pipeline.pack_sequences(spark, cut, "")
+    assert sorted((r.doc_id or 0) for r in packed.collect()) == [0, 0, 1]
