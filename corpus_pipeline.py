@@ -26,8 +26,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the strings of 200 bytes that occur more than once."""
     cut = suffix_dedup.without_repeats(docs)
-    return cut.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(
-        docs.schema["n_chars"].dataType)}).select(*docs.columns)
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text")}
+    return cut.withColumns({c: x.cast(docs.schema[c].dataType) for c, x in new.items() if c in docs.columns}).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
