@@ -91,12 +91,12 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = TOP, id: str = "vec
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             placed = keys(matrix(batch["v"], width, np.float64))
-            yield pa.record_batch({"class": batch["class"], "v": batch["v"], **{
+            yield pa.record_batch({"class": batch["class"], "first": batch["first"], "v": batch["v"], **{
                 f"k{c}": pa.array(placed[:, c]) for c in range(CURVES)}})
 
     names = [f"k{c}" for c in range(CURVES)]
-    placed = store(members.where("nth = 1").select("class", "v").mapInArrow(
-        place, "class long, v array<double>, " + ", ".join(f"{c} long" for c in names)), "curves")
+    placed = store(members.where("nth = 1").select("class", F.col("vec_id").alias("first"), "v").mapInArrow(
+        place, "class long, first long, v array<double>, " + ", ".join(f"{c} long" for c in names)), "curves")
     n = placed.count()
     cut = max(1, min(RANGES, n // (4 * k + 4)))  # ranges hold a few times as many as are wanted
     bounds = placed.approxQuantile(names, [r / cut for r in range(1, cut)], 0.1 / cut) if cut > 1 else []
@@ -105,7 +105,7 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = TOP, id: str = "vec
     def ranges(*columns: pd.Series) -> pd.Series:
         return pd.Series(list(np.stack([np.searchsorted(cuts[c], x, "right") for c, x in enumerate(columns)], axis=1)))
 
-    dealt = placed.select("class", "v", F.posexplode(
+    dealt = placed.select("class", "first", "v", F.posexplode(
         F.pandas_udf(ranges, "array<int>")(*names)).alias("curve", "range"))
     queries = dealt.join(asked.select("class").distinct(), "class", "left_semi")
     row_chunks, query_chunks = (max(1, -(-n // size)) for size in (
@@ -113,35 +113,41 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = TOP, id: str = "vec
     spread = F.xxhash64("class", F.lit(1))
     grid = dealt.select(
         "curve", "range", F.pmod(spread, F.lit(row_chunks)).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1))).alias("j"), F.lit(False).alias("asks"), "class", "v",
+        F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1))).alias("j"), F.lit(False).alias("asks"), "class", "first", "v",
     ).unionByName(queries.select(
         "curve", F.explode(F.sequence(F.col("range") - NEIGHBOURS, F.col("range") + NEIGHBOURS)).alias("range"),
-        F.pmod(spread, F.lit(query_chunks)).cast("int").alias("j"), "class", "v").select(
+        F.pmod(spread, F.lit(query_chunks)).cast("int").alias("j"), "class", "first", "v").select(
         "curve", "range", F.explode(F.sequence(F.lit(0), F.lit(row_chunks - 1))).alias("i"), "j",
-        F.lit(True).alias("asks"), "class", "v"))
+        F.lit(True).alias("asks"), "class", "first", "v"))
 
     def compare(group: pa.Table) -> pa.Table:
         asks = group["asks"].combine_chunks().to_numpy(zero_copy_only=False)
-        name = group["class"].combine_chunks().to_numpy(zero_copy_only=False)
+        name, first = (group[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("class", "first"))
         x = matrix(group["v"], width, np.float64)
-        rows, row_names, found = x[~asks], name[~asks], []
-        for at in range(0, int(asks.sum()), 256):
-            q, q_names = x[asks][at:at + 256], name[asks][at:at + 256]
+        rows, row_names, firsts, queries_, query_names, found = x[~asks], name[~asks], first[~asks], x[asks], name[asks], []
+        keep = min(k + 1, len(rows))
+        for at in range(0, len(queries_) if keep else 0, 256):
+            q = queries_[at:at + 256]
             near = q @ rows.T
-            keep = min(k + 5, len(rows))  # a few more, for scores that differ in rounding only
-            if keep:
-                top = np.argpartition(-near, keep - 1, axis=1)[:, :keep]
-                score = np.einsum("qkd,qd->qk", rows[top], q)
-                found.append((np.repeat(q_names, keep), row_names[top].ravel(), score.ravel()))
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-        return pa.table({"asker": pa.array(columns[0], pa.int64()), "class": pa.array(columns[1], pa.int64()),
-                         "score": pa.array(columns[2], pa.float64())})
-
-    pairs = grid.groupBy("curve", "range", "i", "j").applyInArrow(compare, "asker long, class long, score double")
-    # on each curve the best k + 1 classes, then of all curves, then their members
-    merged = pairs.groupBy("asker", "class").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("asker").orderBy(F.desc("score"), "class")
-    top = merged.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 5).drop("nth")
+            least = np.partition(-near, keep - 1, axis=1)[:, keep - 1:keep]
+            # all that reach the last wanted score, or miss it by rounding only
+            i, j = np.nonzero(-near <= least + 1e-9 * (1 + np.abs(least)))
+            score = np.einsum("nd,nd->n", rows[j], q[i])
+            order = np.lexsort((firsts[j], -score, i))
+            i, j, score = i[order], j[order], score[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            own = place < keep
+            found.append((query_names[at + i[own]], row_names[j[own]], firsts[j[own]], score[own]))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+        kinds = (*[pa.int64()] * 3, pa.float64())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], ["asker", "class", "first", "score"])
+
+    pairs = grid.groupBy("curve", "range", "i", "j").applyInArrow(compare, "asker long, class long, first long, score double")
+    # on each curve the best k + 1 classes, ties by their smallest id, then of all curves, then their
+    # members: no member of another class can be among the k best
+    merged = pairs.groupBy("asker", "class").agg(F.max("score").alias("score"), F.min("first").alias("first"))
+    order = Window.partitionBy("asker").orderBy(F.desc("score"), "first")
+    top = merged.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1).drop("nth", "first")
     hits = asked.withColumnRenamed("vec_id", "query_id").join(
         top.withColumnRenamed("class", "found"), F.col("class") == F.col("asker")).join(
         members.select(F.col("class").alias("found"), "vec_id"), "found").where("vec_id <> query_id")

@@ -105,3 +105,19 @@ def test_recall_on_the_given_table(spark):
     at = {v: i for i, v in enumerate(ids.tolist())}
     recall = [len({v for v, _ in found} & {v for v, _ in ranked(ids, x @ x[at[q]], q, 20)}) / 20 for q, found in got.items()]
     assert np.mean(recall) >= 0.9
+
+
+@pytest.mark.parametrize("kind", ["binary", "norms"])
+def test_ties_and_unequal_norms(spark, kind):
+    rng = np.random.default_rng(4)
+    x = (rng.random((2500, 16)) < 0.5).astype(np.float32) if kind == "binary" else (
+        rng.standard_normal((2500, 16)) * rng.lognormal(0, 0.7, (2500, 1))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS)
+    got = by_query(curve_search.neighbours(df).collect())
+    z, ids, hits = x.astype(np.float64), np.arange(len(x)), 0
+    asked = [q for q in range(0, len(x), 20) if x[q].any()]
+    for q in asked:
+        usable = np.where(x.any(axis=1), z @ z[q], -np.inf)
+        want = ranked(ids, usable, q, 20)
+        hits += len({i for i, _ in want} & {i for i, _ in got[q]})
+    assert hits / (20 * len(asked)) >= 0.9
