@@ -29,6 +29,8 @@ from stayledger.llm.common import pieces, store
 GRAM = 6
 #: Distinct pages of a host that boilerplate is on at least, however many pages the host has.
 PAGES = 3
+#: Words of a repeated run that goes from the middle of a block; shorter ones go as whole blocks only.
+LONG = 12
 #: A page is no copy of others if this share of its words is in blocks that no other page has.
 OWN = 0.2
 
@@ -85,10 +87,12 @@ def _kind(name: str, rest: str, inside: bool) -> str:
 
 
 #: What text counts as below an element of some kind: outside and inside of the article, below a
-#: class or id that stands for parts beside it, in an article there, and left out.
+#: class or id that stands for parts beside it (``marked`` inside of the article), in an article
+#: there, and left out.
 _STEPS = {
     "outer": {"main": "inner", "beside": "left", "named": "aside"},
-    "inner": {"beside": "left", "named": "left"},
+    "inner": {"beside": "left", "named": "marked"},
+    "marked": {"beside": "left"},
     "aside": {"main": "within", "beside": "left"},
     "within": {"beside": "left", "named": "left"},
     "left": {}}
@@ -98,26 +102,25 @@ def _read(page: str) -> tuple[bool, list[tuple[str, bool]], list[str]]:
     """Whether the page names its main text; the blocks of that, or else of all that is not marked
     as standing beside it, each with whether repeats may remove it; the other blocks."""
     stack: list[tuple[str, str]] = []
-    state, tag, named, held = "outer", "", False, []
-    texts = {"outer": [], "inner": [], "within": []}
+    state, tag, named, held, found = "outer", "", False, [], []
 
     def done() -> None:
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
-        if text and state in texts:
-            texts[state].append((text, state == "outer" or tag not in _PROSE))
+        if text and state != "left":
+            found.append((state, text, state in ("outer", "aside") or tag not in _PROSE))
 
     at = 0
     for token in _TOKEN.finditer(page):
-        if state in texts and token.start() > at:
+        if state != "left" and token.start() > at:
             held.append(page[at:token.start()])
         at = token.end()
         name = (token["name"] or "").lower()
         if not name:
             continue
-        if name not in _INLINE and state in texts:
+        if name not in _INLINE and state != "left":
             done()
-        elif name == "br" and state in texts:
+        elif name == "br" and state != "left":
             held.append(" ")
         if token["end"]:
             if any(x == name for x, _ in stack):
@@ -130,7 +133,7 @@ def _read(page: str) -> tuple[bool, list[tuple[str, bool]], list[str]]:
             if name not in _INLINE:
                 tag = next((x for x, _ in reversed(stack) if x not in _INLINE), "")
         elif name not in _VOID:
-            kind = _kind(name, token["rest"], state in ("inner", "within"))
+            kind = _kind(name, token["rest"], state in ("inner", "within", "marked"))
             after = _STEPS[state].get(kind, state)
             if after != state:
                 done()
@@ -142,11 +145,16 @@ def _read(page: str) -> tuple[bool, list[tuple[str, bool]], list[str]]:
                 tag = name
     held.append(page[at:])
     done()
-    outer, inner, within = ([*texts[x]] for x in ("outer", "inner", "within"))
-    # a class or id does not hide the article: one below it counts if it outweighs what stands outside
-    if within and not inner and sum(len(x) for x, _ in within) > sum(len(x) for x, _ in outer):
-        named, inner = True, within
-    return (True, inner, [x for x, _ in outer]) if named else (False, outer, [])
+    # a class or id never hides the text of a page: what stands below one counts if it outweighs the rest
+    mass = {x: sum(len(text) for of, text, _ in found if of == x) for x in _STEPS}
+    if mass["within"] > mass["outer"] and not mass["inner"]:
+        named, kept = True, {"within"}
+    elif named:
+        kept = {"inner", "marked"} if mass["marked"] > mass["inner"] else {"inner"}
+    else:
+        kept = {"outer", "aside"} if mass["aside"] > mass["outer"] else {"outer"}
+    return named, [(text, free) for of, text, free in found if of in kept], [
+        text for of, text, _ in found if named and of == "outer"]
 
 
 def blocks(page: str) -> tuple[bool, list[str]]:
@@ -173,6 +181,20 @@ def _parse(pages: DataFrame) -> DataFrame:
                                  "open array<boolean>, others array<string>")
 
 
+def _uncovered(words: list[str], at: list[int]) -> list[str]:
+    """The words of a block outside of the runs that the repeated substrings at ``at`` cover
+    together; runs under ``LONG`` words count only if they are the whole block."""
+    out, low, high = [], 0, 0
+    for i in [*sorted(at), len(words) + GRAM]:
+        if i > high:  # the run low..high ends here
+            if high - low < LONG and high - low < len(words):
+                out += words[low:high]
+            out += words[high:i]
+            low = i
+        high = max(high, min(i + GRAM, len(words)))
+    return out
+
+
 def _articles(pages: DataFrame) -> DataFrame:
     """(row, article): what each page counts as, the same for copies of an article."""
     parts = pages.select("row", "host", "copy", F.explode("body").alias("text")).select(
@@ -223,9 +245,7 @@ def _unrepeated(parsed: DataFrame) -> DataFrame:
                 for texts, gone in zip(batch["blocks"].to_pylist(), batch["gone"].to_pylist()):
                     for part in gone:
                         words = texts[part["block"]].split(" ")
-                        for i in part["at"]:
-                            words[i:i + GRAM] = [None] * len(words[i:i + GRAM])
-                        texts[part["block"]] = " ".join(w for w in words if w is not None)
+                        texts[part["block"]] = " ".join(_uncovered(words, part["at"]))
                     kept.append([x for x in texts if x])
                 yield pa.record_batch({"page_id": batch["page_id"], "url": batch["url"],
                                        "blocks": pa.array(kept, pa.list_(pa.string()))})

@@ -124,3 +124,18 @@ def test_the_bar_does_not_grow_with_the_host_and_runs_go_from_blocks(spark):
         menu, prose(10 + i, 25), notice, prose(100 + i, 8)))) for i in range(60)]
     got = texts(main_text(rows(spark, *pages)))
     assert got == {i: prose(10 + i, 25) + (" " + prose(100 + i, 8) if i // 3 == 1 else "") for i in range(60)}
+
+
+@pytest.mark.parametrize("body, want", [
+    ('<div class="social-history"><p>own text of the page</p></div>', (False, ["own text of the page"])),
+    ('<div class="content widget"><h1>T</h1><p>own text</p></div>', (False, ["T", "own text"])),
+    ('<div id="comment-free"><p>own text</p></div>', (False, ["own text"])),
+    ('<article><p>one</p><div class="login-history"><p>two two</p></div></article>', (True, ["one", "two two"]))])
+def test_a_class_word_never_hides_what_outweighs_the_rest(body, want):
+    assert blocks(PAGE.format(body)) == want
+
+
+def test_common_phrases_stay_in_running_text(spark):
+    phrase = "at the end of the day we"
+    pages = [("http://h.example/%d" % i, PAGE.format(f"<p>{prose(10 + i, 25)} {phrase} {prose(40 + i, 9)}</p>")) for i in range(5)]
+    assert texts(main_text(rows(spark, *pages))) == {i: f"{prose(10 + i, 25)} {phrase} {prose(40 + i, 9)}" for i in range(5)}
