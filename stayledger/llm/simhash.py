@@ -63,7 +63,7 @@ def _printed(rows: DataFrame, schema: str) -> DataFrame:
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp) for each row; ``fp`` holds the bits of an unsigned number in a long."""
-    return _printed(texts(docs, id, text), "doc_id long, fp long")
+    return _printed(texts(docs, id, text, without_id=True), "doc_id long, fp long")
 
 
 def _syndromes() -> np.ndarray:
@@ -164,17 +164,21 @@ def near_duplicates(docs: DataFrame, threshold: int = 4, id: str = "doc_id",
     """(doc_id, fp, component_id) for each row of ``docs``: documents whose fingerprints differ
     in at most ``threshold`` bits are linked, ``component_id`` is the smallest id reachable.
 
-    Null texts count as empty, whose fingerprint is zero; rows without an id are left out; a
-    repeated row is returned as often; other columns play no part; no rows give no rows.
+    Null texts count as empty, whose fingerprint is zero; a null id is an id like any other, but
+    names a component only if no row of it has one; texts that share an id are linked by their
+    fingerprints alone; a repeated row is returned as often; other columns play no part; no rows
+    give no rows.
     """
     if not 0 <= threshold // len(BLOCKS) <= 2:
         raise ValueError("threshold: 0 to 8 differing bits")
     prints = store(fingerprints(docs, id, text), "fingerprints")
-    nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    joined = components(links(nodes, threshold))
-    named = nodes.join(joined, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("node", F.col("fp")), "nodes")
+    joined = components(links(nodes.select("fp", "node"), threshold))
+    named = store(nodes.join(joined, "node", "left").select(
+        "fp", "first", F.coalesce("component", "node").alias("group")), "groups")
+    least = store(named.groupBy("group").agg(F.min("first").alias("component_id")), "least")
+    names = store(named.join(least, "group").select("fp", "component_id"), "names")
+    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
 def first_of_each(docs: DataFrame, threshold: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -73,10 +73,10 @@ def test_near_duplicates_of_documents(spark):
     rows = docs(spark, *texts, first=10)
     rows = rows.unionByName(rows.limit(1)).unionByName(spark.createDataFrame([(None, base, "", "", 1)], DOCS))
     got = near_duplicates(rows.withColumn("fp", F.lit("clash")).withColumn("component_id", F.lit(1)))
-    assert got.count() == 9
+    assert got.count() == 10
     fps = [slow_fingerprint(t or "") for t in texts]
     want = groups(range(10, 18), fps)
-    assert {r.doc_id: r.component_id for r in got.collect()} == want
+    assert {r.doc_id: r.component_id for r in got.collect()} == want | {None: 10}
     assert want[11] == 10 and want[14] == 13 and want[16] == 15
     assert near_duplicates(docs(spark).limit(0)).collect() == []
 
@@ -97,3 +97,11 @@ def test_texts_that_share_an_id_or_have_none_are_documents(spark):
     got = first_of_each(rows.unionByName(rows)).collect()
     assert sorted((str(r.doc_id), r.text or "") for r in got) == sorted([
         ("3", near), ("7", unique), ("8", other), ("8", lone), ("None", prose(5, 80)), ("None", prose(6, 80)), ("None", "")])
+
+
+def test_texts_that_share_an_id_are_linked_by_their_fingerprints_alone(spark):
+    a, b = prose(1, 400), prose(2, 400)
+    rows = spark.createDataFrame([(i, t, "", "", 1) for i, t in [
+        (3, a), (7, a + " tail"), (7, b), (9, b + " tail"), (None, prose(3, 90))]], DOCS)
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in near_duplicates(rows).collect())
+    assert got == [(0, 0), (3, 3), (7, 3), (7, 7), (9, 7)]
