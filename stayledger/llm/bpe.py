@@ -140,7 +140,7 @@ def encode(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", folder: str |
     """(doc_id, ids) of whole texts; ``ids`` are little-endian unsigned 32-bit integers. Strings
     of special tokens become those, as the library has it.
 
-    Null and empty texts have no ids; rows without an id are left out; repeated rows are
+    Null and empty texts have no ids; a null id is an id like any other; repeated rows are
     returned as often; other columns play no part; no rows give no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +150,7 @@ def encode(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", folder: str |
                 yield pa.record_batch({"doc_id": batch["doc_id"], "ids": pa.array(
                     [vocab.encode(x.decode()) for x in batch["text"].to_pylist()], pa.binary())})
 
-    return texts(docs, id, text).mapInArrow(run, "doc_id long, ids binary")
+    return texts(docs, id, text, without_id=True).mapInArrow(run, "doc_id long, ids binary")
 
 
 def decode(coded: DataFrame, tokenizer: str = "byte_bpe_50k.json", folder: str | None = None) -> DataFrame:

@@ -123,7 +123,7 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     fitted = rows.mapInArrow(hashed, "doc_id long, label int, at binary").repartition(1).sortWithinPartitions(
         F.xxhash64("doc_id"), "doc_id", "label", "at").mapInArrow(fit, "at long, w double")
     found = {r.at: r.w for r in fitted.collect()}  # at most one row for each hash
-    bias = found.pop(-1)
+    bias = found.pop(-1, 0.0)  # no task fits where no row is labelled
     order = sorted(found)
     return np.array(order, np.int64), np.array([found[k] for k in order]), bias
 
@@ -149,11 +149,11 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: s
 def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``.
 
-    Null texts count as empty and get the score of a text without words; rows without an id are
-    left out; repeated rows are returned as often; other columns, language and source among
+    Null texts count as empty and get the score of a text without words; a null id is an id like
+    any other, and not held out; repeated rows are returned as often; other columns, language and source among
     them, play no part; without labels the score is one half; no rows give no rows.
     """
-    plain = docs.where(F.col(id).isNotNull()).select(
+    plain = docs.select(
         F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return scored(plain, learn(docs, labels, id, text)).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -73,8 +73,8 @@ def test_same_as_sql(spark, name):
     assert differences(spark, queries.queries()[name], queries.oracle_sql()[name], SF_DIR, con) == []
 
 
-def test_ten_queries_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+def test_all_queries_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_stages_keep_rows_without_an_id_and_columns_of_any_name(spark):

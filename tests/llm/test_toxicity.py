@@ -44,7 +44,7 @@ def test_null_rows_and_empty_tables(spark):
     got = {}
     for r in toxicity.toxicity(odd, labels.join(documents.select("doc_id"), "doc_id")).collect():
         got.setdefault(r.doc_id, []).append(r.score)
-    assert set(got) == {1000, 1001, 1002, 1003} and len(got[1000]) == 2
+    assert set(got) == {1000, 1001, 1002, 1003, None} and len(got[1000]) == 2
     assert got[1000][0] == got[1001][0]
     scored = toxicity.toxicity(odd, labels.limit(0)).collect()
     assert {r.score for r in scored} == {0.5}
