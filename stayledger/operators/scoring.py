@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.functions.codes import sigmoid
+from stayledger.operators.scale import work_path
 
 # The scorers travel with the task, so the workers need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -105,11 +106,18 @@ def with_class_weight(sequences: DataFrame, positive_weight: float = POSITIVE_WE
 
 def train_classifier(sequences: DataFrame, positive_weight: float = POSITIVE_WEIGHT,
                      iterations: int = 200) -> LogisticRegressionModel:
-    """Weighted binary classifier on flattened padded sequences of scaled values."""
+    """Weighted binary classifier on flattened padded sequences of scaled values.
+
+    The model is stored and read back, which leaves its training summary behind: that holds the
+    session, and no task can take a session in which a write has been observed.
+    """
     weighted = _flat_vector(with_class_weight(sequences, positive_weight)).select(
         "_x", F.col("label").cast("double").alias("label"), "weight")
-    return LogisticRegression(featuresCol="_x", labelCol="label", weightCol="weight", tol=1e-10,
-                              maxIter=iterations, regParam=PENALTY, standardization=False).fit(weighted)
+    model = LogisticRegression(featuresCol="_x", labelCol="label", weightCol="weight", tol=1e-10,
+                               maxIter=iterations, regParam=PENALTY, standardization=False).fit(weighted)
+    path = work_path(sequences.sparkSession, "classifier")
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def loss_gradient(model: LogisticRegressionModel, sequences: DataFrame,
