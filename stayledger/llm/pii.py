@@ -3,7 +3,9 @@
 Rules find the base spans. They take the longest run of characters, so a number beside another
 one is lost with it. Therefore generators of high recall propose spans that may overlap: cards
 and phone numbers in groups, addresses, names before an ``@``. Boosted trees judge each candidate
-by its format and by the characters beside it; they learn from candidates that the rules decide.
+by its format and by the characters beside it; they learn from all candidates that the rules
+decide, in all texts. These are counted by format and context first, so what the trees pass over
+again and again has a row for each of these, with the count as its weight, and not one for each candidate.
 A threshold for each kind is calibrated on candidates that the trees have not seen. What reaches
 it, and overlaps no base span and no better candidate, is added; base spans always stay.
 
@@ -21,8 +23,6 @@ from pyspark.sql import functions as F
 from stayledger.llm.common import store
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the trees learn from, as an expectation, and the longest of them.
-SAMPLE, LONGEST = 50_000, 20_000
 TREES, DEPTH, PRECISION = 12, 4, 0.99
 
 _LOCAL, _DOMAIN = "A-Za-z0-9._%+-", "A-Za-z0-9-"
@@ -148,30 +148,58 @@ def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
-def labelled(docs: DataFrame, sample: int = SAMPLE, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(kind, features, label, held_out) of candidates that the rules decide.
+def _blocks(spans: str, wanted: Callable[[Column], Column]) -> Column:
+    """The ``wanted`` spans in blocks, about as many as one holds, with the range of each, so that
+    texts with very many spans stay cheap."""
+    def cut(all_: Column, size: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(all_) / size).cast("int")), lambda b: _let(
+            F.slice(all_, b * size + 1, size), lambda part: F.struct(
+                F.array_min(F.transform(part, lambda x: x.start)).alias("start"),
+                F.array_max(F.transform(part, lambda x: x.stop)).alias("stop"), part.alias("part"))))
+
+    return _let(F.filter(spans, wanted), lambda all_: _let(
+        F.greatest(F.ceil(F.sqrt(F.size(all_))), F.lit(16)).cast("int"), lambda size: cut(all_, size)))
+
+
+def _overlaps(blocks: Column, c: Column) -> Column:
+    """Whether a candidate overlaps a span of ``_blocks``."""
+    def over(x: Column) -> Column:
+        return (x.start < c.stop) & (x.stop > c.start)
+
+    return F.exists(blocks, lambda b: over(b) & F.exists(b.part, over))
+
+
+def labelled(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(kind, features, label, held_out, n): how many candidates that the rules decide have these
+    features, over all texts.
 
     A candidate that is a base span of its kind is a case; one that overlaps a base span of its
     kind, or no match of a rule at all, is none; one inside a match that a rule has dropped is
-    left out. Documents are drawn by a hash of id and text, ``sample`` of them in expectation.
+    left out.
     """
-    rows = _texts(docs, id, text)
-    total = rows.count()
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    part = min(1.0, sample / max(total, 1))
-    some = rows.where((draw <= int(part * (1 << 30))) & (F.length("text") <= LONGEST) & F.col("text").rlike("[0-9@]"))
-    found = _judged(some).select(
-        F.pmod(F.xxhash64("text"), F.lit(4)).alias("fold"), "base", F.explode_outer("candidates").alias("c"))
+    rows = _texts(docs, id, text).where(F.col("text").rlike("[0-9@]"))  # without these, no candidates
+    found = _judged(rows).select(F.pmod(F.xxhash64("text"), F.lit(4)).alias("fold"), "base", "candidates")
+
+    def valid(kind: int) -> Callable[[Column], Column]:
+        return lambda b: b.valid & (b.kind == kind)
+
+    found = found.where(F.size("candidates") > 0).withColumns(
+        {"spans": F.array(*[_blocks("base", valid(k)) for k in range(len(KINDS))]),
+         "dropped": _blocks("base", lambda b: ~b.valid)})
+
+    def label(c: Column) -> Column:
+        def exact(b: Column) -> Column:
+            return (b.start == c.start) & (b.stop == c.stop)
 
-    def near(valid: bool) -> Column:
-        return F.exists("base", lambda b: (b.start < F.col("c.stop")) & (b.stop > F.col("c.start")) & (
-            (b.valid & (b.kind == F.col("c.kind"))) if valid else ~b.valid))
+        own = F.col("spans")[c.kind]
+        case = F.exists(own, lambda b: (b.start <= c.start) & (b.stop >= c.stop) & F.exists(b.part, exact))
+        return F.when(case, 1.0).when(_overlaps(own, c), 0.0).when(
+            _overlaps(F.col("dropped"), c) & _plausible(c), None).otherwise(0.0)
 
-    exact = F.exists("base", lambda b: b.valid & (b.kind == F.col("c.kind")) & (b.start == F.col("c.start"))
-                     & (b.stop == F.col("c.stop")))
-    label = F.when(F.col("c").isNull(), None).when(exact, 1.0).when(near(True), 0.0).when(near(False) & _plausible(F.col("c")), None).otherwise(0.0)
-    return found.select("c.kind", "c.features", label.alias("label"), (F.col("fold") == 0).alias("held_out")).where(
-        "label IS NOT NULL")
+    decided = found.select((F.col("fold") == 0).alias("held_out"), F.explode(F.transform("candidates", lambda c: F.struct(
+        c.kind.alias("kind"), c.features.alias("features"), label(c).alias("label")))).alias("c"))
+    return decided.select("c.*", "held_out").where("label IS NOT NULL").groupBy(
+        "kind", "features", "label", "held_out").agg(F.count("*").alias("n"))
 
 
 def _plausible(c: Column) -> Column:
@@ -216,22 +244,23 @@ class Trees:
         return enough
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, id: str = "doc_id", text: str = "text") -> Trees:
-    """Trees learnt from three quarters of the labelled candidates, and for each kind the lowest
-    score, in hundredths and from 0.5 on, at which the share of cases among the other candidates
-    from there on is ``PRECISION``. Without cases, or without others, nothing is accepted."""
+def fit(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Trees:
+    """Trees learnt from three quarters of all labelled candidates (those of three quarters of the
+    texts), and for each kind the lowest score, in hundredths and from 0.5 on, at which the share
+    of cases among all other candidates from there on is ``PRECISION``. Without cases, or without
+    others, nothing is accepted."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = store(labelled(docs, sample, id, text), "candidates")
+    rows = store(labelled(docs, id, text), "candidates")
     train = rows.where("NOT held_out")
     if train.agg(F.countDistinct("label")).first()[0] < 2:
         return Trees()
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7, featuresCol="v").fit(
-        train.select("label", array_to_vector("features").alias("v")))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7, featuresCol="v", weightCol="n").fit(
+        train.select("label", "n", array_to_vector("features").alias("v")))
     trees = Trees(model.toDebugString)
     bins = rows.where("held_out").groupBy("kind", F.floor(trees.score(F.col("features")) * 100).alias("bin")).agg(
-        F.sum("label").alias("cases"), F.count("*").alias("n")).collect()  # 4 kinds, 101 bins
+        F.sum(F.col("label") * F.col("n")).alias("cases"), F.sum("n").alias("n")).collect()  # 4 kinds, 101 bins
     for kind in range(len(KINDS)):
         cases = n = 0
         for r in sorted((r for r in bins if r.kind == kind and r.bin >= 50), key=lambda r: -r.bin):
@@ -282,9 +311,9 @@ def find(docs: DataFrame, trees: Trees, id: str = "doc_id", text: str = "text")
     return _added(rows, trees).select("doc_id", "text", "base", "added")
 
 
-def personal_data(docs: DataFrame, sample: int = SAMPLE, id: str = "doc_id", text: str = "text") -> DataFrame:
+def personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``find`` by trees that are fitted on the same documents."""
-    return find(docs, fit(docs, sample, id, text), id, text)
+    return find(docs, fit(docs, id, text), id, text)
 
 
 def redacted(found: DataFrame) -> DataFrame:

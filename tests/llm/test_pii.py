@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,29 @@ def test_query_without_python(spark):
         assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [want.count(k + ":") for k in KINDS]
         assert set(want.split(",")) <= set(r.spans.split(","))
+
+def test_every_text_counts_in_the_fit(spark):
+    given = docs(spark, f"x a@b.cc {'word ' * 6000}", *["x a@b.cc y"] * 3, first=0)
+    counts = {(r.kind, r.label): r.n for r in pii.labelled(given).groupBy("kind", "label").agg(F.sum("n").alias("n")).collect()}
+    assert counts == {(0, 1.0): 4}
+
+
+def test_labels_in_blocks_equal_labels_of_all_pairs(spark):
+    rng = random.Random(4)
+    parts = ["a@b.cc", "1.2.3.4", "300.1.1.1", card(1), card(2)[:-1] + "x", "+1 (212) 555-1234", "555-1234", "a@b", "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6"]
+    given = docs(spark, *[" ".join(rng.choice(parts) for _ in range(n)) for n in (1, 5, 40, 150)], first=0)
+    want = Counter()
+    for r in pii._judged(given.select("doc_id", "text")).collect():
+        for c in r.candidates:
+            def near(valid):
+                return any(b.start < c.stop and b.stop > c.start and b.valid == valid and (not valid or b.kind == c.kind) for b in r.base)
+
+            exact = any(b.valid and (b.kind, b.start, b.stop) == (c.kind, c.start, c.stop) for b in r.base)
+            plausible = {0: True, 1: c.features[4] == 1, 2: 16 <= c.features[2] <= 19 and c.features[3] == 1,
+                         3: 8 <= c.features[2] <= 15 and c.features[5] == 1}[c.kind]
+            if exact or near(True) or not (near(False) and plausible):
+                want[c.kind, tuple(c.features), float(exact)] += 1
+    got = Counter()
+    for r in pii.labelled(given).collect():
+        got[r.kind, tuple(r.features), r.label] += r.n
+    assert got == want and {x for _, _, x in want} == {0.0, 1.0}
