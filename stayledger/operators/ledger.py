@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.functions.codes import day, lob_group, midnight, to_pacific
-from stayledger.operators.scale import running_total
+from stayledger.operators.scale import materialize, running_total
 
 POINTS_PER_CREDIT = Decimal(10000)
 
@@ -97,4 +97,5 @@ def credits_at(property: str) -> Column:
 
 def ledger_running(ledger: DataFrame, xref: DataFrame) -> DataFrame:
     """Every ledger row with the guest's credits up to its instant."""
-    return running_total(with_guest(ledger, xref), "guest_id", "ts", "credits", "running_credits")
+    rows = materialize(with_guest(ledger, xref), "guest_ledger")  # joined once, read three times
+    return running_total(rows, "guest_id", "ts", "credits", "running_credits")

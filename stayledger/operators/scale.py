@@ -92,10 +92,28 @@ def keys_of(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys, (F.spark_partition_id() % 8).alias("_part")).distinct().select(*keys)
 
 
-def running_total(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:
-    """Running sum per key up to and including rows of the same instant.
-
-    Rows of an instant are summed before any window. A key with a large part of the rows is
+def running_total(df: DataFrame, key: str, ts: str, value: str, out: str, crowd: int = 1_000_000) -> DataFrame:
+    """Running sum per key up to and including rows of the same instant; rows without a key or an
+    instant go, but values without an instant count first. There is no sum where a minute has had
+    no value so far.
+
+    A key of at most ``crowd`` rows is one group of a window, so its rows are shuffled once. The
+    few keys with more, of which there is at most one for each ``crowd`` rows, are broadcast, and
+    their rows go through ``_total_by_levels``. ``df`` is read three times.
+    """
+    df = df.where(F.col(key).isNotNull())
+    crowded = F.broadcast(df.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > crowd).select(key))
+    so_far = Window.partitionBy(key).orderBy(ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    valued = F.max(F.when(F.col(value).isNotNull(), F.col(ts))).over(so_far)
+    few = df.join(crowded, key, "left_anti").withColumn("_total", F.when(
+        F.date_trunc("minute", valued) == F.date_trunc("minute", ts), F.sum(value).over(so_far))).where(F.col(ts).isNotNull())
+    many = _total_by_levels(df.join(crowded, key, "left_semi"), key, ts, value, "_total")
+    names = [key, ts, *(c for c in df.columns if c not in (key, ts))]
+    return few.select(*names, F.col("_total").alias(out)).unionByName(many.select(*names, F.col("_total").alias(out)))
+
+
+def _total_by_levels(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:
+    """``running_total`` of crowded keys. Rows of an instant are summed before any window. A key is
     spread over its hours and their minutes: a window orders the hours of a key, the minutes
     of an hour or the instants of a minute.
     """

@@ -32,6 +32,17 @@ def test_running_total_of_a_hot_key(spark):
                    for i, k, t, _ in rows}
 
 
+def test_running_total_in_one_window_equals_levels(spark):
+    rows = [(i, k, t, v if i % 5 else None) for i, k, t, v in hot_rows()] + [
+        (600, None, ts("2024-01-01 00:00:00"), 1), (601, "hot", None, 7)]
+    df = table(spark, "id int, k string, t timestamp_ntz, v int", *rows)
+    one, some, all_ = (scale.running_total(df, "k", "t", "v", "total", crowd) for crowd in (1000, 100, 0))
+    assert one.columns == ["k", "t", "id", "v", "total"]
+    assert bag(one, *one.columns) == bag(some, *one.columns) == bag(all_, *one.columns) and one.count() == 600
+    one.collect()
+    assert "SortMergeJoin" not in one._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
 def test_previous_instant_of_a_hot_key(spark):
     rows = hot_rows()
     first = ts("2000-01-01 00:00:00")
