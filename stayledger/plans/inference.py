@@ -18,9 +18,7 @@ from stayledger.sources import tables
 
 
 def _rolled(src: Tables, cohort: Cohort) -> DataFrame:
-    return visits.roll_up_trips(visits.visit_base(src["visit"]), online_brand=cohort.online_brand,
-                                since=date(cohort.year - 1, 1, 1),
-                                until=date(cohort.year, 12, 31), include_until=True)
+    return training.rolled_trips(src, cohort, since=date(cohort.year - 1, 1, 1), include_until=True)
 
 
 def _lodged(src: Tables, cohort_trips: DataFrame, year: int) -> DataFrame:
@@ -73,7 +71,8 @@ def daily_run(src: Tables, cohort: Cohort, as_of: Sequence[date], scaler_path: s
     """From source tables to scored guests: day rows, stored scaler, scores and flags of the
     guests who were active the day before each date; counts go to the run log.
 
-    ``src["ledger"]`` is the table of player days (``sources.day_store``), or a ledger. Guests are
+    ``src["ledger"]`` is the table of player days (``sources.day_store``), or a ledger, ``src["visit"]``
+    holds visits, or trips that ``training.with_trips`` has made of them. Guests are
     chosen first, from the days before the dates; only their rows go any further. All dates
     share one pass, and nothing but the scores stays behind.
     """

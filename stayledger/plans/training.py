@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stayledger.operators import days, features, history, sequences, tiers, trips, visits
 from stayledger.operators.ledger import of_years, player_days
@@ -39,14 +40,36 @@ def with_player_days(src: Tables, cohort: Cohort) -> Tables:
     return {**src, "ledger": materialize(player_days(both, cohort.property), "player_days")}
 
 
-def rolled_trips(src: Tables, cohort: Cohort, since: date | None = None) -> DataFrame:
+def rolled_trips(src: Tables, cohort: Cohort, since: date | None = None, include_until: bool = False) -> DataFrame:
+    """Trips of the visits; trips that stand there already, rolled up, are only cut to the dates."""
+    until, start = date(cohort.year, 12, 31), F.col("trip_start")
+    if "trip_id" in src["visit"].columns:
+        before = start <= F.lit(until) if include_until else start < F.lit(until)
+        return src["visit"].where(before if since is None else before & (start >= F.lit(since)))
     return visits.roll_up_trips(visits.visit_base(src["visit"]), online_brand=cohort.online_brand,
-                                until=date(cohort.year, 12, 31), since=since)
+                                until=until, include_until=include_until, since=since)
+
+
+def with_trips(src: Tables, cohort: Cohort) -> Tables:
+    """Tables with the trips of both years, kept, in place of the visits: the one pass over them.
+
+    Nothing in a run of the cohort's year looks at trips that start earlier. Trips that are there
+    already are read where they lie.
+    """
+    if "trip_id" in src["visit"].columns:
+        return src
+    return {**src, "visit": materialize(rolled_trips(
+        src, cohort, since=date(cohort.year - 1, 1, 1), include_until=True), "rolled")}
+
+
+def _kept_trips(src: Tables, rolled: DataFrame) -> DataFrame:
+    """``rolled``, written unless its trips stand in ``src`` already."""
+    return rolled if "trip_id" in src["visit"].columns else materialize(rolled, "rolled")
 
 
 def returning_trips(src: Tables, cohort: Cohort) -> DataFrame:
     """All trips of guests who came in both years and earn mostly at the property."""
-    rolled = materialize(rolled_trips(src, cohort), "rolled")
+    rolled = _kept_trips(src, rolled_trips(src, cohort))
     returning = visits.returning_guests(visits.at_property(rolled, cohort.property), cohort.year)
     dominant = visits.dominant_guests(of_years(src["ledger"], cohort.year - 1, cohort.year),
                                       src["member_xref"], cohort.property, cohort.share)
@@ -56,7 +79,7 @@ def returning_trips(src: Tables, cohort: Cohort) -> DataFrame:
 def new_trips(src: Tables, cohort: Cohort) -> DataFrame:
     """Trips at the property by guests who did not come the year before."""
     both_years = rolled_trips(src, cohort, since=date(cohort.year - 1, 1, 1))
-    at = visits.at_property(materialize(both_years, "rolled"), cohort.property)
+    at = visits.at_property(_kept_trips(src, both_years), cohort.property)
     earning = visits.guests_with_credits(of_years(src["ledger"], cohort.year),
                                          src["member_xref"], cohort.property, cohort.min_credits)
     return visits.trips_of(visits.new_guest_trips(at, cohort.year), earning)
@@ -110,8 +133,9 @@ def new_guest_rows(src: Tables, cohort_trips: DataFrame, year: int) -> DataFrame
 
 
 def conforming(src: Tables) -> Tables:
-    """The tables of ``PLAN_SOURCES`` by their contracts; player days in place of a ledger stay."""
-    return {name: df if "day" in df.columns else conform(df, PLAN_SOURCES[name]) for name, df in src.items()}
+    """The tables of ``PLAN_SOURCES`` by their contracts; player days in place of a ledger and trips
+    in place of visits stay."""
+    return {name: df if "day" in df.columns or "trip_id" in df.columns else conform(df, PLAN_SOURCES[name]) for name, df in src.items()}
 
 
 def visitors(src: Tables, cohort: Cohort, returning: bool) -> DataFrame:
@@ -146,12 +170,14 @@ def kept_days(src: Tables, cohort: Cohort) -> Tables:
 def cohort_sequences(src: Tables, cohort: Cohort, returning: bool):
     """(scaler, padded sequences) from source tables.
 
-    Visits tell who can be in the cohort; the ledger is cut down to the players of these guests
-    before its one pass. What is written on the way is deleted; the sequences stay.
+    Visits are rolled up once; their trips tell who can be in the cohort, and these guests are kept,
+    as every table is cut down to them, the ledger before its one pass. What is written on the way is deleted; the sequences stay.
     """
     src = conforming(src)
     with milestones() as result:
-        src = kept_days(of_guests(src, visitors(src, cohort, returning)), cohort)
+        src = with_trips(src, cohort)
+        guests = materialize(visitors(src, cohort, returning).distinct(), "visitors")
+        src = kept_days(of_guests(src, guests), cohort)
         chosen = materialize((returning_trips if returning else new_trips)(src, cohort), "chosen")
         rows = (returning_rows if returning else new_guest_rows)(of_guests(src, chosen), chosen, cohort.year)
         scaler, padded = training_sequences(materialize(rows, "rows"), returning)
