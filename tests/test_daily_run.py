@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from stayledger.operators import days, features, ledger, scale, scoring, sequences
+from stayledger.operators import days, features, ledger, scale, scoring, sequences, visits
 from stayledger.plans import inference, training
 from stayledger.schemas import NEW_GUEST_FEATURES
 from stayledger.sources import day_store, tables
@@ -154,6 +154,29 @@ def test_result_of_an_inner_block_goes_with_the_outer_one(spark):
     assert last.count() == 4 and {n.split("-")[0] for n in folders(spark) - before} == {"outer"}
 
 
+def test_whole_runs_roll_visits_up_once(spark, monkeypatch):
+    calls, plain, own = [], visits.roll_up_trips, Flow(spark, SF_DIR)
+
+    def counted(base, **options):
+        calls.append(options)
+        return plain(base, **options)
+
+    monkeypatch.setattr(visits, "roll_up_trips", counted)
+    with scale.milestones():
+        training.cohort_sequences(own.x.tables, WIDE, returning=True)
+        assert len(calls) == 1
+        for returning in (True, False):
+            own.daily_run(returning)
+        assert len(calls) == 2
+
+
+def test_stored_days_and_trips_serve_a_training(spark, flow):
+    columns = ("guest_id", "day", "label", "length", "sequence")
+    for returning in (True, False):
+        stored, given = (flow.trained_on_cohort(returning, stored)[1] for stored in (True, False))
+        assert bag(stored, *columns) == bag(given, *columns)
+
+
 def test_missing_columns_of_a_source_fail_at_once(flow):
     with pytest.raises(ValueError, match="lacks columns"):
         training.cohort_sequences({**flow.x.tables, "visit": flow.x.visits.drop("segment")}, WIDE, True)

@@ -162,21 +162,30 @@ class Flow:
         return scale.materialize(
             training.new_guest_rows(self.days, self.kept_rolled, YEAR), "new")
 
-    def trained_on_cohort(self, returning):
-        """(path of the stored scaler, sequences) of the training plan; kept with the tables."""
-        if returning not in self.x.trained:
-            scaler, windows = training.cohort_sequences(self.x.tables, WIDE, returning)
+    @property
+    def stored(self):
+        """The stand-in tables with the stored player days and trips, which daily runs and the
+        trainings before them share."""
+        if self.x.stored_trips is None:
+            self.x.stored_trips = training.with_trips(training.conforming(self.x.tables), WIDE)["visit"]
+        return {**self.x.tables, "ledger": self.x.player_days, "visit": self.x.stored_trips}
+
+    def trained_on_cohort(self, returning, stored=False):
+        """(path of the stored scaler, sequences) of the training plan, from the tables or from
+        those with stored player days and trips; kept with the tables."""
+        if (returning, stored) not in self.x.trained:
+            scaler, windows = training.cohort_sequences(self.stored if stored else self.x.tables, WIDE, returning)
             path = scale.work_path(self.spark, "scaler")
             tables.save_scaler(scaler, path)
-            self.x.trained[returning] = path, windows
-        return self.x.trained[returning]
+            self.x.trained[returning, stored] = path, windows
+        return self.x.trained[returning, stored]
 
     def daily_run(self, returning):
         """Scores of the daily run over the stored player days, and the path of its log."""
         names = RETURNING_FEATURES if returning else NEW_GUEST_FEATURES
         log = scale.work_path(self.spark, "run_log")
         return inference.daily_run(
-            {**self.x.tables, "ledger": self.x.player_days}, WIDE, AS_OF, self.trained_on_cohort(returning)[0],
+            self.stored, WIDE, AS_OF, self.trained_on_cohort(returning, stored=True)[0],
             scoring.LinearScorer(model_weights(names), MODEL_BIAS), 0.4, returning, log), log
 
     def simulated(self, returning):
@@ -1035,10 +1044,10 @@ def fp_model_by_lodging(f):
 
 
 def prepare(spark: SparkSession, tables: StandIns) -> None:
-    """What a daily run finds in place: stored player days and the scalers of earlier trainings."""
+    """What a daily run finds in place: stored player days, trips and the scalers of earlier trainings."""
     tables.player_days.count()
     for returning in (True, False):
-        Flow(spark, tables.sf_dir, tables).trained_on_cohort(returning)
+        Flow(spark, tables.sf_dir, tables).trained_on_cohort(returning, stored=True)
 
 
 def runnable(tables: StandIns | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayledger.functions.codes import DROP_IN, IN_HOUSE, LOCAL, TIERS
-from stayledger.operators.scale import materialize, work_path
+from stayledger.operators.ledger import of_years
+from stayledger.operators.scale import materialize, milestones, work_path
 from stayledger.sources.day_store import put_days, read_days
 
 SHIFT_DAYS = 9496
@@ -57,8 +58,10 @@ class StandIns:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._read: dict[str, DataFrame] = {}
-        #: (path of the scaler, sequences) of the training plan, by kind of guests.
-        self.trained: dict[bool, tuple[str, DataFrame]] = {}
+        #: (path of the scaler, sequences) of the training plan, by kind of guests and of tables.
+        self.trained: dict[tuple[bool, bool], tuple[str, DataFrame]] = {}
+        #: Trips of the two years, once a run has stored them.
+        self.stored_trips: DataFrame | None = None
 
     def t(self, name: str) -> DataFrame:
         if name not in self._read:
@@ -339,8 +342,10 @@ class StandIns:
     def player_days(self) -> DataFrame:
         """The stored player days: two years at once, and their last day once more, as a day is added."""
         path = work_path(self.spark, "player_days")
-        put_days(self.ledger, path, date(2023, 1, 1), date(2024, 12, 31), PROPERTY)
-        put_days(self.ledger, path, date(2024, 12, 31), date(2024, 12, 31), PROPERTY)
+        with milestones():
+            ledger = materialize(of_years(self.ledger, 2023, 2024), "ledger")  # joined once for both
+            put_days(ledger, path, date(2023, 1, 1), date(2024, 12, 31), PROPERTY)
+            put_days(ledger, path, date(2024, 12, 31), date(2024, 12, 31), PROPERTY)
         return read_days(self.spark, path)
 
     @property
