@@ -154,27 +154,22 @@ def test_result_of_an_inner_block_goes_with_the_outer_one(spark):
     assert last.count() == 4 and {n.split("-")[0] for n in folders(spark) - before} == {"outer"}
 
 
-def test_whole_runs_roll_visits_up_once(spark, monkeypatch):
-    calls, plain, own = [], visits.roll_up_trips, Flow(spark, SF_DIR)
-
-    def counted(base, **options):
-        calls.append(options)
-        return plain(base, **options)
-
-    monkeypatch.setattr(visits, "roll_up_trips", counted)
-    with scale.milestones():
-        training.cohort_sequences(own.x.tables, WIDE, returning=True)
-        assert len(calls) == 1
-        for returning in (True, False):
-            own.daily_run(returning)
-        assert len(calls) == 2
-
-
-def test_stored_days_and_trips_serve_a_training(spark, flow):
-    columns = ("guest_id", "day", "label", "length", "sequence")
+def test_kept_trips_stand_in_for_visits(spark, flow, monkeypatch):
+    given, day = training.conforming(flow.x.tables), date(WIDE.year - 1, 1, 1)
+    want = inference._rolled(given, WIDE)
+    src = training.with_trips(given, WIDE)
+
+    def again(*_, **__):
+        raise AssertionError("visits are rolled up again")
+
+    monkeypatch.setattr(visits, "roll_up_trips", again)
+    assert training.with_trips(src, WIDE) is src and training.conforming(src)["visit"] is src["visit"]
+    got = inference._rolled(src, WIDE)
+    assert bag(got, *want.columns) == bag(want, *want.columns) and got.count() > 10
+    cut = training.rolled_trips(src, WIDE, since=day)
+    assert bag(cut, *want.columns) == bag(want.where(F.col("trip_start") < date(WIDE.year, 12, 31)), *want.columns)
     for returning in (True, False):
-        stored, given = (flow.trained_on_cohort(returning, stored)[1] for stored in (True, False))
-        assert bag(stored, *columns) == bag(given, *columns)
+        training.visitors(src, WIDE, returning)
 
 
 def test_missing_columns_of_a_source_fail_at_once(flow):
