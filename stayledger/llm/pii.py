@@ -178,26 +178,26 @@ def labelled(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     left out.
     """
     rows = _texts(docs, id, text).where(F.col("text").rlike("[0-9@]"))  # without these, no candidates
-    found = _judged(rows).select(F.pmod(F.xxhash64("text"), F.lit(4)).alias("fold"), "base", "candidates")
+    # stored, so that no filter or generator on top is judged in place of what it reads
+    found = store(_judged(rows).select(F.pmod(F.xxhash64("text"), F.lit(4)).alias("fold"), "base", "candidates"), "judged")
 
     def valid(kind: int) -> Callable[[Column], Column]:
         return lambda b: b.valid & (b.kind == kind)
 
-    found = found.where(F.size("candidates") > 0).withColumns(
-        {"spans": F.array(*[_blocks("base", valid(k)) for k in range(len(KINDS))]),
-         "dropped": _blocks("base", lambda b: ~b.valid)})
-
-    def label(c: Column) -> Column:
+    def label(c: Column, spans: Column) -> Column:
         def exact(b: Column) -> Column:
             return (b.start == c.start) & (b.stop == c.stop)
 
-        own = F.col("spans")[c.kind]
+        own, dropped = spans[c.kind], spans[len(KINDS)]
         case = F.exists(own, lambda b: (b.start <= c.start) & (b.stop >= c.stop) & F.exists(b.part, exact))
         return F.when(case, 1.0).when(_overlaps(own, c), 0.0).when(
-            _overlaps(F.col("dropped"), c) & _plausible(c), None).otherwise(0.0)
+            _overlaps(dropped, c) & _plausible(c), None).otherwise(0.0)
 
-    decided = found.select((F.col("fold") == 0).alias("held_out"), F.explode(F.transform("candidates", lambda c: F.struct(
-        c.kind.alias("kind"), c.features.alias("features"), label(c).alias("label")))).alias("c"))
+    blocks = F.array(*[_blocks("base", valid(k)) for k in range(len(KINDS))], _blocks("base", lambda b: ~b.valid))
+    labels = _let(blocks, lambda spans: F.transform("candidates", lambda c: F.struct(
+        c.kind.alias("kind"), c.features.alias("features"), label(c, spans).alias("label"))))
+    # an outer explode, as Spark filters by what a plain one reads and so computes it twice
+    decided = found.where(F.size("candidates") > 0).select((F.col("fold") == 0).alias("held_out"), F.explode_outer(labels).alias("c"))
     return decided.select("c.*", "held_out").where("label IS NOT NULL").groupBy(
         "kind", "features", "label", "held_out").agg(F.count("*").alias("n"))
 

@@ -174,3 +174,13 @@ def test_labels_in_blocks_equal_labels_of_all_pairs(spark):
     for r in pii.labelled(given).collect():
         got[r.kind, tuple(r.features), r.label] += r.n
     assert got == want and {x for _, _, x in want} == {0.0, 1.0}
+
+
+def test_candidates_are_computed_once_for_the_fit(spark):
+    """No filter on candidates or labels repeats the expressions that they come from."""
+    given = docs(spark, "x a@b.cc", "call +1 (212) 555-1234 now", "300.1.1.1", "none", None, first=0)
+    rows = pii.labelled(given)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+    assert all(len(line) < 1000 for line in plan.split("\n") if "Filter" in line)
+    assert sorted((r.kind, r.label, r.n) for r in rows.collect())[0] == (0, 1.0, 1)
