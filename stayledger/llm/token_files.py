@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from stayledger.llm.common import pieces, shared_folder, store, texts
 END = 2
 #: Ids in a block at least, but for the last one of a part.
 BLOCK = 1 << 16
+#: Bytes of text that a task encodes at once, about.
+AT_ONCE = 1 << 24
 #: Documents in a part, about.
 PART_DOCS = 8192
 
@@ -73,12 +76,25 @@ def tokenized(docs: DataFrame, end: int, tokenizer: str, folder: str | None, id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from stayledger.llm.tokens import encoder
 
-        encode, stop = encoder(tokenizer, folder).encode, np.array([end], "<u2").tobytes()
+        encode, stop = encoder(tokenizer, folder).encode_array, np.array([end], "<u2").tobytes()
+
+        def coded(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, at = encode(pa.concat_arrays([x["text"].cast(pa.large_string()) for x in held])), 0
+            for x in held:
+                yield pa.record_batch({"doc_id": x["doc_id"], "ids": pa.array(
+                    [i + stop for i in ids[at:at + x.num_rows]], pa.binary())})
+                at += x.num_rows
+
+        held, size = [], 0
         for whole in batches:
             for batch in pieces(whole):
-                coded = encode([x.decode() for x in batch["text"].to_pylist()])
-                yield pa.record_batch({"doc_id": batch["doc_id"],
-                                       "ids": pa.array([x + stop for x in coded], pa.binary())})
+                held.append(batch)
+                size += pc.sum(pc.binary_length(batch["text"])).as_py() or 0
+                if size >= AT_ONCE:
+                    yield from coded(held)
+                    held, size = [], 0
+        if held:
+            yield from coded(held)
 
     return texts(docs, id, text).mapInArrow(run, "doc_id long, ids binary")
 

@@ -6,11 +6,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stayledger.llm import bpe, packing, token_files
+from stayledger.llm import bpe, packing, token_files, tokens
 from stayledger.llm.tokens import Encoder
 from tests.llm.helpers import DOCS, docs, prose
 
@@ -33,6 +34,21 @@ def test_words_encoded_once_equal_whole_texts(name):
         assert got == library(name)[0]
 
 
+def test_parts_between_spaces_equal_whole_texts(monkeypatch):
+    mine = Encoder("byte_bpe_50k.json")
+    met, new = [], mine._new_parts
+    monkeypatch.setattr(mine, "_new_parts", lambda parts: met.append(parts) or new(parts))
+    plain = ["", " ", "a", " a b  c\n d\t ", "a\x85 b\xa0 ", "one two. three", "two. three one"] + [
+        "".join(rng.choice(["a", "Be", " ", "  ", "\n", "\xa0", "\x1c", "é", "1", "'s", ".", "’"]) for _ in range(30)) for _ in range(300)]
+    for given in (TEXTS, plain):
+        for keep in (tokens.KEPT_PARTS, 0, tokens.KEPT_PARTS):  # from no parts, those met, and those of the last batch
+            monkeypatch.setattr(tokens, "KEPT_PARTS", keep)
+            got = mine.encode_array(pa.array([x or "" for x in given]))
+            assert [np.frombuffer(x, "<u2").tolist() for x in got] == library("byte_bpe_50k.json", given)[0]
+            assert len(set(met[-1])) == len(met[-1])
+        assert met[-1] == [] and len(mine.parts) == len(mine.codes)  # a part that was met is not encoded again
+
+
 def test_bpe_equals_the_library(spark):
     ids, t = library("byte_bpe_50k.json")
     rows = docs(spark, *TEXTS).withColumn("ids", F.lit("clash"))
