@@ -140,3 +140,13 @@ def test_query_on_the_given_documents(spark, libraries):
             ids = libraries[0].encode(" " + text, add_special_tokens=False).ids
             assert got[i].n_a == len(ids) and got[i].n_b == len(libraries[1].encode(text))
             assert got[i].n_links == got[i].n_a + got[i].n_b - got[i].n_groups
+
+
+def test_tokens_are_held_against_the_bytes_of_the_text():
+    own = alignment.sides("byte_bpe_50k.json", "piece_bpe_32k.model")
+    for text in (" a b.c  d\n", " é日本 😀 x", " " + "word " * 300):
+        (a,), (b,) = own.encode([text])
+        data = text.encode()
+        want = [b"".join(map(t.__getitem__, x.tolist())) == data for t, x in ((own.a_bytes, a), (own.b_bytes, b))]
+        assert own.gives(a, b, data) == all(want)
+        assert not own.gives(a, b, data[:-1] + b"!") and not own.gives(a[:-1], b, data) and not own.gives(a, b, data + b"x")
